@@ -11,7 +11,6 @@ from fraudlens.functions.vectors import or_zeros
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_PARTS = 256  # a key is hot when it holds at least 1/256 of the rows, so there are at most 256 hot keys
-SALTS = 64
 
 
 def merge_identity(
@@ -68,9 +67,10 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS) -> DataFrame:
-    """Keys that hold at least 1/parts of the rows: never more than ``parts`` of them."""
-    counts = df.filter(" and ".join(f"`{k}` is not null" for k in keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.count()
+    """Keys that hold at least 1/parts of the rows with a key: never more than ``parts`` of them."""
+    known = df.select(*keys).na.drop()
+    counts = known.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
     found = counts.filter(F.col("_n") * parts >= total).select(*keys).collect()
     return df.sparkSession.createDataFrame(found, df.select(*keys).schema)
 
@@ -82,18 +82,20 @@ def lookup(
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
     parts: int = HOT_PARTS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``dim`` (unique keys, already written or cheap to read) onto ``facts``.
 
     The dimension is broadcast when its measured size allows. Beyond that both sides are shuffled, with
-    the rows of hot and null keys spread over ``salts`` parts and the few hot dimension rows repeated.
+    the rows of hot and null keys spread over ``salts`` parts (as many as shuffle partitions, unless
+    given) and the few hot dimension rows repeated.
     The salt is a hash of the row, so a retried task places its rows as before.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if measured_bytes(dim) <= broadcast_bytes:
         return facts.join(F.broadcast(dim), keys, how)
     hot = hot_keys(facts, keys, parts).withColumn("_hot", F.lit(True))  # at most ``parts`` rows
+    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_null = F.lit(False)
     for key in keys:
         any_null = any_null | F.col(key).isNull()

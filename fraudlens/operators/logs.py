@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fraudlens.functions.scalars import duration_seconds
+from fraudlens.operators.joins import lookup
 from fraudlens.operators.ordering import latest
+from fraudlens.session import settle
 
 # Words searched for in messages, and the patterns of the failure classes.
 ERROR_WORDS = (
@@ -110,11 +112,11 @@ def recent_failures(jobs: DataFrame, created: Sequence[str], reason: str, words:
 def list_events(log: DataFrame, stream: str, ts: str, tie: str, message: str = "message") -> DataFrame:
     """Events of the stream that was active last come first, in time order within a stream.
 
-    The last event time per stream is one aggregation; the listing is one global sort, which splits a
-    busy stream over many tasks.
+    The last event time per stream is one aggregation, written and looked up, so the log itself is not
+    shuffled by stream; the listing is one global sort, which splits a busy stream over many tasks.
     """
-    last = log.groupBy(stream).agg(F.max(ts).alias("last_event"))
-    out = log.join(last, stream).withColumn(message, F.trim(message))
+    last = settle(log.groupBy(stream).agg(F.max(ts).alias("last_event")), "streams")
+    out = lookup(log, last, stream, "inner").withColumn(message, F.trim(message))
     return out.orderBy(F.desc("last_event"), stream, ts, tie)
 
 

@@ -113,18 +113,18 @@ def g03(spark, d):
     WITH c AS (SELECT card1, card2, card4, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr, sum(isFraud) AS fc FROM htrain GROUP BY 1, 2, 3),
          e AS (SELECT P_emaildomain, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr FROM htrain GROUP BY 1),
          v AS (SELECT DeviceType, DeviceInfo_simple, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr FROM htrain GROUP BY 1, 2)
-    SELECT node_id, 'card' AS ntype, 64 AS dim, round(coalesce(am, 0), 4) AS f0, ac::DOUBLE AS f1, round(fr, 6) AS f2, fc::DOUBLE AS f3,
+    SELECT node_id, 'card' AS ntype, 64 AS dim, round(coalesce(am, 0), 7) AS f0, ac::DOUBLE AS f1, round(fr, 6) AS f2, fc::DOUBLE AS f3,
            0.0::DOUBLE AS f4, 0.0::DOUBLE AS f5, 0.0::DOUBLE AS f6, 0.0::DOUBLE AS f7, 0.0::DOUBLE AS f9 FROM hcards JOIN c USING (card1, card2, card4)
-    UNION ALL SELECT node_id, 'email', 64, 0, 0, 0, 0, round(coalesce(am, 0), 4), ac, round(fr, 6), 0, 0 FROM hemails JOIN e USING (P_emaildomain)
-    UNION ALL SELECT node_id, 'device', 64, 0, 0, 0, 0, 0, 0, 0, round(coalesce(am, 0), 4), round(fr, 6) FROM hdevices JOIN v USING (DeviceType, DeviceInfo_simple)
-    UNION ALL SELECT start + row_id, 'txn', 64, round(coalesce(TransactionAmt, 0), 4), TransactionDT, C1, 0, 0, 0, 0, round(coalesce(D1, 0), 4), 0 FROM htrain, hstart""")
+    UNION ALL SELECT node_id, 'email', 64, 0, 0, 0, 0, round(coalesce(am, 0), 7), ac, round(fr, 6), 0, 0 FROM hemails JOIN e USING (P_emaildomain)
+    UNION ALL SELECT node_id, 'device', 64, 0, 0, 0, 0, 0, 0, 0, round(coalesce(am, 0), 7), round(fr, 6) FROM hdevices JOIN v USING (DeviceType, DeviceInfo_simple)
+    UNION ALL SELECT start + row_id, 'txn', 64, round(coalesce(TransactionAmt, 0), 7), TransactionDT, C1, 0, 0, 0, 0, round(coalesce(D1, 0), 7), 0 FROM htrain, hstart""")
 def g04(spark, d):
     train, vocabs = hetero_graph(spark, d)
     stats = {
         n: entity_stats(train, keys, stats=CARD_STATS if n == "card" else PAIR_STATS) for n, keys in HETERO_KEYS.items()
     }
     rows = g.node_features(train, vocabs, stats, HETERO_KEYS)
-    digits = {0: 4, 1: 4, 2: 6, 3: 4, 4: 4, 5: 4, 6: 6, 7: 4, 9: 6}
+    digits = {0: 7, 1: 4, 2: 6, 3: 4, 4: 7, 5: 4, 6: 6, 7: 7, 9: 6}
     return rows.select(
         "node_id", "ntype", F.size("feat").alias("dim"),
         *[F.round(F.col("feat")[i], n).alias(f"f{i}") for i, n in digits.items()],

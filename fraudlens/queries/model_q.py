@@ -40,11 +40,10 @@ def m02(spark, d):
 
 
 @query("m03_regime_weights", """
-    WITH w AS (SELECT count(*) AS n, sum(isFraud) AS pos, count(*) - sum(isFraud) AS neg FROM split WHERE split = 'train')
-    SELECT TransactionID, 1.0::DOUBLE AS none, round(n / (2.0::DOUBLE * CASE isFraud WHEN 1 THEN pos ELSE neg END), 6) AS sample,
-           round(CASE isFraud WHEN 1 THEN neg / CAST(pos AS DOUBLE) ELSE 1.0 END, 6) AS pos,
-           round(n / (2.0::DOUBLE * CASE isFraud WHEN 1 THEN pos ELSE neg END) * CASE isFraud WHEN 1 THEN neg / CAST(pos AS DOUBLE) ELSE 1.0 END, 6) AS both
-    FROM split, w WHERE split = 'train'""")
+    WITH w AS (SELECT count(*) AS n, sum(isFraud) AS ones, count(*) - sum(isFraud) AS zeros FROM split WHERE split = 'train'),
+         v AS (SELECT TransactionID, n / (2.0::DOUBLE * CASE isFraud WHEN 1 THEN ones ELSE zeros END) AS balanced,
+                      CASE isFraud WHEN 1 THEN zeros / CAST(ones AS DOUBLE) ELSE 1.0 END AS positive FROM split, w WHERE split = 'train')
+    SELECT TransactionID, 1.0::DOUBLE AS none, round(balanced, 6) AS sample, round(positive, 6) AS pos, round(balanced * positive, 6) AS both FROM v""")
 def m03(spark, d):
     rows = split_txn(spark, d).filter("split = 'train'").select("TransactionID", "isFraud")
     for regime in mo.REGIMES:
