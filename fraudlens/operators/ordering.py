@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fraudlens.session import settle
 
 BLOCK, POS = "_block", "_pos"
+FEW_TIES = 100_000  # a tie group up to this size is cut by a plain top-n
 _POS_BITS = 33  # monotonically_increasing_id keeps the row's place within its partition in 33 bits
 
 
@@ -141,27 +142,50 @@ def previous_in_group(
     )
 
 
-def kth_row(df: DataFrame, order: Sequence[str], k: int):
-    """The row at 0-based position ``k`` of the order (as a driver-side Row), or None past the end.
-
-    First a histogram of the leading column, which collapses under map-side aggregation; then only the
-    rows tied on the one value that holds position ``k`` are ordered by the remaining columns.
-    """
-    lead, rest = order[0], list(order[1:])
-    narrow = df.select(*order)
-    cum, totals = running(narrow.groupBy(lead).agg(F.count("*").alias("_n")), [lead], {"_upto": ("sum", "_n")})
-    return _kth_in(narrow, cum, lead, rest, k) if 0 <= k < totals["_upto"] else None
+def _histogram(df: DataFrame, lead: str) -> tuple[DataFrame, int]:
+    """Rows up to and including each value of ``lead``, and their number; map-side combine does most of it."""
+    counts = df.groupBy(lead).agg(F.count("*").alias("_n"))
+    cum, totals = running(counts, [lead], {"_upto": ("sum", "_n")})
+    return cum, totals["_upto"]
 
 
-def _kth_in(narrow: DataFrame, cum: DataFrame, lead: str, rest: list[str], k: int):
+def _row_at(narrow: DataFrame, cum: DataFrame, order: Sequence[str], k: int):
+    """Row at 0-based position ``k``: the histogram gives the leading value, and only the rows tied on
+    it are ordered by the other columns."""
+    lead, rest = order[0], list(order[1:])
     hit = cum.filter((F.col("_upto") > k) & (F.col("_upto") - F.col("_n") <= k)).first()
     if not rest:
         return hit
     inside = k - (hit["_upto"] - hit["_n"])
     tied = narrow.filter(F.col(lead).eqNullSafe(F.lit(hit[lead])))
+    if hit["_n"] <= FEW_TIES:
+        return tied.orderBy(*rest).offset(inside).limit(1).first()
     return global_row_id(tied, rest, "_at").filter(F.col("_at") == inside).drop("_at").first()
 
 
+def kth_row(df: DataFrame, order: Sequence[str], k: int):
+    """The row at 0-based position ``k`` of the order (driver-side Row of the order columns), or None past the end."""
+    narrow = df.select(*order)
+    cum, n = _histogram(narrow, order[0])
+    return _row_at(narrow, cum, order, k) if 0 <= k < n else None
+
+
+def _label_by_cuts(df: DataFrame, fracs: Sequence[float], time: str, key: str, name: str, labels: Sequence[str]) -> DataFrame:
+    narrow = df.select(time, key)
+    cum, n = _histogram(narrow, time)
+    label = F.lit(labels[-1])
+    for frac, before in reversed(list(zip(fracs, labels))):
+        k = int(n * frac)
+        if k >= n:
+            label = F.lit(before)
+            continue
+        cut = _row_at(narrow, cum, [time, key], k)
+        at, tie = F.lit(cut[time]), F.lit(cut[key])
+        earlier = (F.col(time) < at) | ((F.col(time) == at) & (F.col(key) < tie))
+        label = F.when(earlier, F.lit(before)).otherwise(label)
+    return df.withColumn(name, label)
+
+
 def time_split(
     df: DataFrame, frac: float, time: str, key: str, name: str = "split", labels: tuple[str, str] = ("train", "test")
 ) -> DataFrame:
@@ -170,17 +194,12 @@ def time_split(
     Only the cut point is searched for; the wide rows are labelled by a comparison with two literals,
     without a shuffle.
     """
-    narrow = df.select(time, key)
-    cum, totals = running(
-        narrow.groupBy(time).agg(F.count("*").alias("_n")), [time], {"_upto": ("sum", "_n")}
-    )
-    k = int((totals["_upto"] or 0) * frac)
-    first, second = F.lit(labels[0]), F.lit(labels[1])
-    if k >= (totals["_upto"] or 0):
-        return df.withColumn(name, first)
-    cut = _kth_in(narrow, cum, time, [key], k)
-    before = (F.col(time) < F.lit(cut[time])) | ((F.col(time) == F.lit(cut[time])) & (F.col(key) < F.lit(cut[key])))
-    return df.withColumn(name, F.when(before, first).otherwise(second))
+    return _label_by_cuts(df, [frac], time, key, name, labels)
+
+
+def three_way_split(df: DataFrame, fracs: tuple[float, float], time: str, key: str, name: str = "split") -> DataFrame:
+    """Train / validation / test by time, so that threshold choice and reporting use different rows."""
+    return _label_by_cuts(df, [fracs[0], fracs[0] + fracs[1]], time, key, name, ("train", "valid", "test"))
 
 
 def stratified_split(
@@ -220,15 +239,6 @@ def stratified_split(
     return df.withColumn(name, F.when(is_test, F.lit(labels[1])).otherwise(F.lit(labels[0])))
 
 
-def three_way_split(df: DataFrame, fracs: tuple[float, float], time: str, key: str, name: str = "split") -> DataFrame:
-    """Train / validation / test by time, so that threshold choice and reporting use different rows."""
-    outer = time_split(df, fracs[0] + fracs[1], time, key, "_outer", ("fit", "test"))
-    inner_frac = fracs[0] / (fracs[0] + fracs[1])
-    fit = time_split(outer.filter(F.col("_outer") == "fit"), inner_frac, time, key, name, ("train", "valid"))
-    test = outer.filter(F.col("_outer") == "test").withColumn(name, F.lit("test"))
-    return fit.unionByName(test).drop("_outer")
-
-
 def first_seen_vocab(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "idx") -> DataFrame:
     """Distinct keys numbered 0.. by the order of their first row; ``n`` is the number of rows of a key.
 

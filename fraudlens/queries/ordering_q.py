@@ -27,10 +27,8 @@ def w02(spark, d):
 
 
 @query("w02_three_way_split", """
-    WITH q AS (SELECT TransactionID, pos, CAST(floor(n_all * (CAST(0.6 AS DOUBLE) + CAST(0.2 AS DOUBLE))) AS BIGINT) AS k FROM placed)
-    SELECT TransactionID, CASE WHEN pos >= k THEN 'test'
-      WHEN pos < CAST(floor(k * (CAST(0.6 AS DOUBLE) / (CAST(0.6 AS DOUBLE) + CAST(0.2 AS DOUBLE)))) AS BIGINT) THEN 'train'
-      ELSE 'valid' END AS split FROM q""")
+    SELECT TransactionID, CASE WHEN pos < CAST(floor(n_all * CAST(0.6 AS DOUBLE)) AS BIGINT) THEN 'train'
+      WHEN pos < CAST(floor(n_all * (CAST(0.6 AS DOUBLE) + CAST(0.2 AS DOUBLE))) AS BIGINT) THEN 'valid' ELSE 'test' END AS split FROM placed""")
 def w02_three(spark, d):
     rows = settle(clean_txn(spark, d).select(*ORDER), "txn")
     return o.three_way_split(rows, (0.6, 0.2), *ORDER).select("TransactionID", "split")
