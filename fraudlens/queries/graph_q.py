@@ -11,7 +11,7 @@ from fraudlens.operators.clean import add_simple_device, fill_categorical
 from fraudlens.operators.entity import CARD_STATS, PAIR_STATS, entity_stats
 from fraudlens.operators.joins import merge_identity
 from fraudlens.operators.ordering import first_seen_vocab, global_row_id
-from fraudlens.queries.base import ORDER, VIEWS, card_email_vocabs, named_email, numbered_train, query, split_txn
+from fraudlens.queries.base import ORDER, VIEWS, card_email_vocabs, named_email, numbered_train, query, split_txn, steady, steady_sql
 from fraudlens.session import settle
 
 HETERO_KEYS = {"card": ["card1", "card2", "card4"], "email": ["P_emaildomain"], "device": ["DeviceType", "DeviceInfo_simple"]}
@@ -109,53 +109,54 @@ def g03(spark, d):
     return g.node_ids(vocabs, HETERO_KEYS, train)
 
 
-@query("g04_node_features", """
+@query("g04_node_features", f"""
     WITH c AS (SELECT card1, card2, card4, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr, sum(isFraud) AS fc FROM htrain GROUP BY 1, 2, 3),
          e AS (SELECT P_emaildomain, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr FROM htrain GROUP BY 1),
          v AS (SELECT DeviceType, DeviceInfo_simple, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr FROM htrain GROUP BY 1, 2)
-    SELECT node_id, 'card' AS ntype, 64 AS dim, round(coalesce(am, 0), 7) AS f0, ac::DOUBLE AS f1, round(fr, 6) AS f2, fc::DOUBLE AS f3,
+    SELECT node_id, 'card' AS ntype, 64 AS dim, {steady_sql("coalesce(am, 0)", 4)} AS f0, ac::DOUBLE AS f1, round(fr, 6) AS f2, fc::DOUBLE AS f3,
            0.0::DOUBLE AS f4, 0.0::DOUBLE AS f5, 0.0::DOUBLE AS f6, 0.0::DOUBLE AS f7, 0.0::DOUBLE AS f9 FROM hcards JOIN c USING (card1, card2, card4)
-    UNION ALL SELECT node_id, 'email', 64, 0, 0, 0, 0, round(coalesce(am, 0), 7), ac, round(fr, 6), 0, 0 FROM hemails JOIN e USING (P_emaildomain)
-    UNION ALL SELECT node_id, 'device', 64, 0, 0, 0, 0, 0, 0, 0, round(coalesce(am, 0), 7), round(fr, 6) FROM hdevices JOIN v USING (DeviceType, DeviceInfo_simple)
-    UNION ALL SELECT start + row_id, 'txn', 64, round(coalesce(TransactionAmt, 0), 7), TransactionDT, C1, 0, 0, 0, 0, round(coalesce(D1, 0), 7), 0 FROM htrain, hstart""")
+    UNION ALL SELECT node_id, 'email', 64, 0, 0, 0, 0, {steady_sql("coalesce(am, 0)", 4)}, ac, round(fr, 6), 0, 0 FROM hemails JOIN e USING (P_emaildomain)
+    UNION ALL SELECT node_id, 'device', 64, 0, 0, 0, 0, 0, 0, 0, {steady_sql("coalesce(am, 0)", 4)}, round(fr, 6) FROM hdevices JOIN v USING (DeviceType, DeviceInfo_simple)
+    UNION ALL SELECT start + row_id, 'txn', 64, {steady_sql("coalesce(TransactionAmt, 0)", 4)}, TransactionDT, C1, 0, 0, 0, 0, {steady_sql("coalesce(D1, 0)", 4)}, 0 FROM htrain, hstart""")
 def g04(spark, d):
     train, vocabs = hetero_graph(spark, d)
     stats = {
         n: entity_stats(train, keys, stats=CARD_STATS if n == "card" else PAIR_STATS) for n, keys in HETERO_KEYS.items()
     }
     rows = g.node_features(train, vocabs, stats, HETERO_KEYS)
-    digits = {0: 7, 1: 4, 2: 6, 3: 4, 4: 7, 5: 4, 6: 6, 7: 7, 9: 6}
+    plain, amounts = {1: 4, 2: 6, 3: 4, 5: 4, 6: 6, 9: 6}, (0, 4, 7)
     return rows.select(
         "node_id", "ntype", F.size("feat").alias("dim"),
-        *[F.round(F.col("feat")[i], n).alias(f"f{i}") for i, n in digits.items()],
+        *[F.round(F.col("feat")[i], n).alias(f"f{i}") for i, n in plain.items()],
+        *[steady(F.col("feat")[i], 4).alias(f"f{i}") for i in amounts],
     )
 
 
 @query("g05_propagate", f"""
-    WITH h1 AS ({hop_sql('nfeat')}) SELECT node_id, round(x0, 6) AS x0, round(x1, 6) AS x1 FROM h1""")
+    WITH h1 AS ({hop_sql('nfeat')}) SELECT node_id, {steady_sql("x0", 6)} AS x0, {steady_sql("x1", 6)} AS x1 FROM h1""")
 def g05(spark, d):
     *_, nodes, edges = small_graph(spark, d)
     out = g.propagate(nodes, edges, 2)
-    return out.select("node_id", *[F.round(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
+    return out.select("node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
 
 
 @query("g05_propagate_spread", f"""
-    WITH h1 AS ({hop_sql('nfeat')}) SELECT node_id, round(x0, 6) AS x0, round(x1, 6) AS x1 FROM h1""")
+    WITH h1 AS ({hop_sql('nfeat')}) SELECT node_id, {steady_sql("x0", 6)} AS x0, {steady_sql("x1", 6)} AS x1 FROM h1""")
 def g05_spread(spark, d):
     """The way a graph beyond broadcast size goes: shuffled lookup with hub rows spread over salts."""
     *_, nodes, edges = small_graph(spark, d)
     out = g.propagate(nodes, edges, 2, broadcast_bytes=0)
-    return out.select("node_id", *[F.round(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
+    return out.select("node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
 
 
 @query("g06_propagate_k", f"""
     WITH h1 AS ({hop_sql('nfeat')}), h2 AS ({hop_sql('h1')}), h3 AS ({hop_sql('h2')})
-    SELECT nfeat.node_id, round(nfeat.x0, 6) AS h0, round(h1.x0, 6) AS h1, round(h2.x0, 6) AS h2, round(h3.x0, 6) AS h3
+    SELECT nfeat.node_id, {steady_sql("nfeat.x0", 6)} AS h0, {steady_sql("h1.x0", 6)} AS h1, {steady_sql("h2.x0", 6)} AS h2, {steady_sql("h3.x0", 6)} AS h3
     FROM nfeat JOIN h1 USING (node_id) JOIN h2 USING (node_id) JOIN h3 USING (node_id)""")
 def g06(spark, d):
     *_, nodes, edges = small_graph(spark, d)
     out = g.propagate_k(nodes, edges, 2, hops=3)
-    return out.select("node_id", *[F.round(F.col("feat")[2 * i], 6).alias(f"h{i}") for i in range(4)])
+    return out.select("node_id", *[steady(F.col("feat")[2 * i], 6).alias(f"h{i}") for i in range(4)])
 
 
 _SAMPLED = """
@@ -171,11 +172,11 @@ def g07(spark, d):
 
 @query("g07_sage_mean", f"""
     WITH {_SAMPLED}, a AS (SELECT dst, avg(x0) AS x0, avg(x1) AS x1 FROM sampled JOIN nfeat ON nfeat.node_id = sampled.src GROUP BY dst)
-    SELECT node_id, round(coalesce(a.x0, 0), 6) AS x0, round(coalesce(a.x1, 0), 6) AS x1 FROM nfeat LEFT JOIN a ON a.dst = nfeat.node_id""")
+    SELECT node_id, {steady_sql("coalesce(a.x0, 0)", 6)} AS x0, {steady_sql("coalesce(a.x1, 0)", 6)} AS x1 FROM nfeat LEFT JOIN a ON a.dst = nfeat.node_id""")
 def g07_mean(spark, d):
     *_, nodes, edges = small_graph(spark, d)
     out = g.sage_mean(nodes, g.sample_neighbors(edges, 32), 2)
-    return out.select("node_id", *[F.round(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
+    return out.select("node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
 
 
 @query("g08_txn_features", """

@@ -8,7 +8,7 @@ from fraudlens import bindings as b
 from fraudlens.operators.entity import attach_stats, entity_stats
 from fraudlens.operators.joins import anti, attach_embedding, attach_weights, filter_unseen, lookup, merge_identity, semi, take
 from fraudlens.operators.profile import class_weights
-from fraudlens.queries.base import card_email_vocabs, named_email, numbered_train, query, split_txn
+from fraudlens.queries.base import card_email_vocabs, named_email, numbered_train, query, split_txn, steady, steady_sql
 from fraudlens.session import settle
 
 
@@ -71,17 +71,17 @@ def j05(spark, d):
     return found.select("TransactionID", "card_id")
 
 
-@query("j06_attach_stats", """
+@query("j06_attach_stats", f"""
     WITH s AS (SELECT card1, avg(TransactionAmt) AS am, count(TransactionAmt) AS ac, avg(isFraud) AS fr, sum(isFraud) AS fc
                FROM split WHERE split = 'train' GROUP BY 1)
-    SELECT TransactionID, round(coalesce(am, 0), 6) AS amt_mean, coalesce(ac, 0) AS amt_count, round(coalesce(fr, 0), 6) AS fraud_rate,
+    SELECT TransactionID, {steady_sql("coalesce(am, 0)", 4)} AS amt_mean, coalesce(ac, 0) AS amt_count, round(coalesce(fr, 0), 6) AS fraud_rate,
            CAST(coalesce(fc, 0) AS BIGINT) AS fraud_count FROM split LEFT JOIN s USING (card1)""")
 def j06(spark, d):
     rows = split_txn(spark, d)
     stats = settle(entity_stats(rows.filter("split = 'train'"), ["card1"], missing=None), "stats")
     joined = attach_stats(rows, stats, ["card1"])
     return joined.select(
-        "TransactionID", F.round("amt_mean", 6).alias("amt_mean"), "amt_count", F.round("fraud_rate", 6).alias("fraud_rate"), "fraud_count"
+        "TransactionID", steady(F.col("amt_mean"), 4).alias("amt_mean"), "amt_count", F.round("fraud_rate", 6).alias("fraud_rate"), "fraud_count"
     )
 
 
@@ -116,9 +116,9 @@ def j10(spark, d):
     return anti(b.txn(spark, d).select("TransactionID"), b.idn(spark, d), "TransactionID")
 
 
-@query("j11_features_on_edges", """
+@query("j11_features_on_edges", f"""
     WITH n AS (SELECT n_cards + n_emails + row_id AS src, coalesce(D1, 0.0) AS x FROM train, sizes)
-    SELECT dst, count(*) AS n, round(sum(x), 4) AS total FROM edges JOIN n USING (src) GROUP BY dst""")
+    SELECT dst, count(*) AS n, {steady_sql("sum(x)", 4)} AS total FROM edges JOIN n USING (src) GROUP BY dst""")
 def j11(spark, d):
     from fraudlens.functions.scalars import zero_default
     from fraudlens.operators.graph import build_edges_card_email, node_offsets, vocab_sizes
@@ -129,7 +129,7 @@ def j11(spark, d):
     feats = settle(train.select((F.col("row_id") + start).alias("src"), zero_default(F.col("D1")).alias("x")), "features")
     edges = build_edges_card_email(train, cards, emails)
     return lookup(edges, feats, "src", "inner").groupBy("dst").agg(
-        F.count("*").alias("n"), F.round(F.sum("x"), 4).alias("total")
+        F.count("*").alias("n"), steady(F.sum("x"), 4).alias("total")
     )
 
 

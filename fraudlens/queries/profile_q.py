@@ -11,7 +11,7 @@ from fraudlens.operators.encode import Scaler
 from fraudlens.operators.entity import PAIR_STATS, distinct_entities, entity_stats
 from fraudlens.operators.joins import attach_weights, merge_identity
 from fraudlens.plans.risk import risky_cards, test_rows_with_card_risk
-from fraudlens.queries.base import query, split_txn
+from fraudlens.queries.base import query, split_txn, steady, steady_sql
 from fraudlens.session import settle
 
 
@@ -94,35 +94,35 @@ def a08(spark, d):
     return _rounded(p.class_distribution(b.table(spark, d, "events"), "event_type"), "share")
 
 
-@query("a09_card_stats", """
-    SELECT card1, card2, card4, round(coalesce(avg(TransactionAmt), 0), 7) AS amt_mean, count(TransactionAmt) AS amt_count,
+@query("a09_card_stats", f"""
+    SELECT card1, card2, card4, {steady_sql("coalesce(avg(TransactionAmt), 0)", 4)} AS amt_mean, count(TransactionAmt) AS amt_count,
            round(avg(isFraud), 6) AS fraud_rate, CAST(sum(isFraud) AS BIGINT) AS fraud_count
     FROM split WHERE split = 'train' GROUP BY 1, 2, 3""")
 def a09(spark, d):
     stats = entity_stats(split_txn(spark, d).filter("split = 'train'"), ["card1", "card2", "card4"])
-    return _rounded(stats.withColumn("amt_mean", F.round("amt_mean", 7)), "fraud_rate")
+    return _rounded(stats.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
 
 
-@query("a10_email_stats", """
-    SELECT coalesce(P_emaildomain, 'unknown') AS P_emaildomain, round(avg(TransactionAmt), 7) AS amt_mean,
+@query("a10_email_stats", f"""
+    SELECT coalesce(P_emaildomain, 'unknown') AS P_emaildomain, {steady_sql("avg(TransactionAmt)", 4)} AS amt_mean,
            count(TransactionAmt) AS amt_count, round(avg(isFraud), 6) AS fraud_rate
     FROM split WHERE split = 'train' GROUP BY 1""")
 def a10(spark, d):
     stats = entity_stats(split_txn(spark, d).filter("split = 'train'"), ["P_emaildomain"], stats=PAIR_STATS)
-    return _rounded(stats.withColumn("amt_mean", F.round("amt_mean", 7)), "fraud_rate")
+    return _rounded(stats.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
 
 
-@query("a11_device_stats", """
+@query("a11_device_stats", f"""
     WITH m AS (SELECT split.*, DeviceType, DeviceInfo FROM split LEFT JOIN idn USING (TransactionID))
     SELECT coalesce(DeviceType, 'unknown') AS DeviceType,
            coalesce(split_part(lower(DeviceInfo), '/', 1), 'unknown') AS DeviceInfo_simple,
-           round(coalesce(avg(TransactionAmt), 0), 7) AS amt_mean, count(TransactionAmt) AS amt_count, round(avg(isFraud), 6) AS fraud_rate
+           {steady_sql("coalesce(avg(TransactionAmt), 0)", 4)} AS amt_mean, count(TransactionAmt) AS amt_count, round(avg(isFraud), 6) AS fraud_rate
     FROM m WHERE split = 'train' GROUP BY 1, 2""")
 def a11(spark, d):
     train = split_txn(spark, d).filter("split = 'train'")
     rows = add_simple_device(merge_identity(train, b.idn(spark, d)))
     stats = entity_stats(rows, ["DeviceType", "DeviceInfo_simple"], stats=PAIR_STATS)
-    return _rounded(stats.withColumn("amt_mean", F.round("amt_mean", 7)), "fraud_rate")
+    return _rounded(stats.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
 
 
 @query("a12_distinct_entities", "SELECT DISTINCT card1, card2, card4 FROM txn")
@@ -159,19 +159,19 @@ CARD_RISK = """
 
 @query("r01_test_rows_with_card_risk", f"""
     WITH {CARD_RISK}
-    SELECT TransactionID, card1, card2, card4, TransactionAmt, isFraud, round(coalesce(am, 0), 7) AS amt_mean, coalesce(ac, 0) AS amt_count,
+    SELECT TransactionID, card1, card2, card4, TransactionAmt, isFraud, {steady_sql("coalesce(am, 0)", 4)} AS amt_mean, coalesce(ac, 0) AS amt_count,
            round(coalesce(fr, 0), 6) AS fraud_rate, CAST(coalesce(fc, 0) AS BIGINT) AS fraud_count
     FROM filled LEFT JOIN s USING (card1, card2, card4) WHERE split = 'test'""")
 def r01(spark, d):
     rows = test_rows_with_card_risk(b.txn(spark, d), b.idn(spark, d))
-    return _rounded(rows.withColumn("amt_mean", F.round("amt_mean", 7)), "fraud_rate")
+    return _rounded(rows.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
 
 
 @query("r02_risky_cards", f"""
     WITH {CARD_RISK}
-    SELECT card1, card2, card4, count(*) AS n_test, round(max(coalesce(am, 0)), 7) AS amt_mean, max(coalesce(ac, 0)) AS amt_count,
+    SELECT card1, card2, card4, count(*) AS n_test, {steady_sql("max(coalesce(am, 0))", 4)} AS amt_mean, max(coalesce(ac, 0)) AS amt_count,
            round(max(coalesce(fr, 0)), 6) AS fraud_rate, CAST(max(coalesce(fc, 0)) AS BIGINT) AS fraud_count
     FROM filled LEFT JOIN s USING (card1, card2, card4) WHERE split = 'test' GROUP BY 1, 2, 3""")
 def r02(spark, d):
     rows = risky_cards(test_rows_with_card_risk(b.txn(spark, d), b.idn(spark, d)))
-    return _rounded(rows.withColumn("amt_mean", F.round("amt_mean", 7)), "fraud_rate")
+    return _rounded(rows.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
