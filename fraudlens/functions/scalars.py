@@ -69,7 +69,10 @@ def from_epoch_millis(col: Column) -> Column:
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
-    return (F.unix_micros(end) - F.unix_micros(start)) / 1e6
+    """Seconds between two timestamps of the same kind, exact to the microsecond and free of the session zone."""
+    gap = end - start
+    part = lambda unit: F.extract(F.lit(unit), gap)
+    return (part("DAY") * 86400 + part("HOUR") * 3600 + part("MINUTE") * 60 + part("SECOND")).cast("double")
 
 
 def iso_time(col: Column) -> Column:

@@ -125,7 +125,7 @@ def run_summary(polls: DataFrame, run: str, order: Sequence[str], status: str, t
     return polls.groupBy(run).agg(
         F.max_by(status, F.struct(*order)).alias("final_status"),
         F.count("*").alias("polls"),
-        duration_seconds(F.min(F.col(ts).cast("timestamp")), F.max(F.col(ts).cast("timestamp"))).alias("duration_s"),
+        duration_seconds(F.min(ts), F.max(ts)).alias("duration_s"),
     )
 
 

@@ -12,8 +12,7 @@ from fraudlens.operators.ordering import running
 from fraudlens.schema import family_counts
 
 SMALL_CELLS = 20_000_000  # up to this many values Spark's own median may hold them in its buffers
-BRACKET = 0.001  # half width, in rank share, of the bracket around the median
-ACCURACY = 10_000  # rank error of the bracket ends is at most 1/ACCURACY
+SAMPLE_ROWS = 1_000  # the least number of rows a bracket around the median is taken from
 
 
 def profile_counts(stages: dict[str, DataFrame]) -> DataFrame:
@@ -67,23 +66,26 @@ def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
 def column_medians(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_CELLS) -> dict[str, float | None]:
     """Exact median of each numeric column, missing values left out.
 
-    Small tables use the built-in median. Beyond that, approximate quantiles give a narrow bracket per
-    column, one scan counts what lies below it, and only the values inside are ordered, all columns
-    together. A bracket that misses the median (checked) is widened to the column's whole range.
+    Small tables use the built-in median, whose buffers hold every value. Beyond that, quantiles of a
+    sample of bounded size give a bracket per column, one scan counts what lies below it, and only the
+    values inside are ordered, all columns together, over all rows. A bracket that misses the median
+    (checked by the counts) is widened to the column's whole range, so the sample decides cost, not result.
     """
     cols = list(cols)
     if not cols:
         return {}
     num = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
-    sizes = df.agg(*[F.count(num[c]).alias(c) for c in cols]).first().asDict()
+    counted = df.agg(F.count("*").alias("_rows"), *[F.count(num[c]).alias(c) for c in cols]).first().asDict()
+    n_rows, sizes = counted.pop("_rows"), counted
     if sum(sizes.values()) <= small_cells:
         return df.agg(*[F.median(num[c]).alias(c) for c in cols]).first().asDict()
 
-    ends = [0.5 - BRACKET, 0.5 + BRACKET]
-    quant = df.agg(*[F.percentile_approx(num[c], ends, ACCURACY).alias(c) for c in cols]).first().asDict()
-    bounds = {c: tuple(quant[c]) for c in cols if sizes[c]}
+    bounds = _sampled_brackets(df, num, n_rows, max(SAMPLE_ROWS, small_cells // len(cols)))
     below, upto = _rank_counts(df, num, bounds)
-    wide = [c for c in bounds if not (below[c] <= (sizes[c] - 1) // 2 and sizes[c] // 2 < upto[c])]
+    wide = [
+        c for c in cols
+        if sizes[c] and not (c in bounds and below[c] <= (sizes[c] - 1) // 2 and sizes[c] // 2 < upto[c])
+    ]
     if wide:
         edge = df.agg(*[F.struct(F.min(num[c]), F.max(num[c])).alias(c) for c in wide]).first().asDict()
         bounds |= {c: tuple(edge[c]) for c in wide}
@@ -118,8 +120,18 @@ def column_medians(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_
     return {c: (min(v) + max(v)) / 2 if v else None for c, v in hits.items()}
 
 
+def _sampled_brackets(df, num, n_rows: int, wanted: int) -> dict[str, tuple[float, float]]:
+    """Per column the values five standard errors of rank around the sample median; none if the sample has no value."""
+    sample = df.sample(min(1.0, wanted / max(1, n_rows)), seed=42)
+    half = min(0.5, 2.5 / wanted**0.5)
+    ends = sample.agg(*[F.percentile(x, F.array(F.lit(0.5 - half), F.lit(0.5 + half))).alias(c) for c, x in num.items()])
+    return {c: tuple(v) for c, v in ends.first().asDict().items() if v is not None}
+
+
 def _rank_counts(df, num, bounds):
     """Per column: values below the bracket, and values up to its upper end."""
+    if not bounds:
+        return {}, {}
     counts = df.agg(
         *[F.count_if(num[c] < lo).alias(f"b_{c}") for c, (lo, _) in bounds.items()],
         *[F.count_if(num[c] <= hi).alias(f"u_{c}") for c, (_, hi) in bounds.items()],

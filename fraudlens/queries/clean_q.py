@@ -201,7 +201,7 @@ def f01_time(spark, d):
         s.report_stamp(ts).alias("report_stamp"),
         s.iso_time(ts).alias("iso"),
         s.epoch_seconds(ts).alias("seconds"),
-        s.duration_seconds(F.date_trunc("day", ts.cast("timestamp")), ts.cast("timestamp")).alias("since_midnight"),
+        s.duration_seconds(ts.cast("date").cast("timestamp_ntz"), ts).alias("since_midnight"),
     )
 
 

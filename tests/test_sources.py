@@ -157,3 +157,16 @@ def test_outputs_are_complete(spark):
     assert read("xgb/training.csv").columns.count("isFraud") == 1
     config = read_config(spark, f"{base}/config/config.json").first()
     assert config.xgb_config.scale_pos_weight > 1
+
+
+def test_job_writes_once_per_input(spark, tmp_path):
+    from fraudlens.plans.job import arguments, run
+
+    tx, idn = frames(spark)
+    paths = [write_table(tx, f"{tmp_path}/tx.csv", "csv"), write_table(idn, f"{tmp_path}/idn.parquet")]
+    args = arguments(["--transactions", paths[0], "--identities", paths[1], "--output", f"{tmp_path}/out"])
+    assert [run(spark, args), run(spark, args)] == ["written", "skipped"]
+    small = arguments(["--transactions", paths[0], "--output", f"{tmp_path}/out", "--sample-size", "50"])
+    assert run(spark, small) == "written"
+    runs = m.read_runs(spark, f"{tmp_path}/out/runs").orderBy("started").collect()
+    assert [(r.name, r.n_rows, r.success) for r in runs] == [("preprocess", 200, True), ("preprocess", 50, True)]
