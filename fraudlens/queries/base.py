@@ -131,21 +131,27 @@ def clean_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_placeholders(bindings.txn(spark, sf_dir))
 
 
-def split_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned transactions with their time split, written once since several passes follow."""
-    return time_split(settle(clean_txn(spark, sf_dir), "txn"), TRAIN_SHARE, "TransactionDT", "TransactionID")
+def split_txn(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """Cleaned transactions with their time split, written once since several passes follow.
+
+    With ``cols`` only these and the order columns are read and written.
+    """
+    rows = clean_txn(spark, sf_dir)
+    if cols:
+        rows = rows.select(*dict.fromkeys([*ORDER, *cols]))
+    return time_split(settle(rows, "txn"), TRAIN_SHARE, *ORDER)
 
 
 def named_email(df: DataFrame) -> DataFrame:
     return df.withColumn("P_emaildomain", F.coalesce("P_emaildomain", F.lit(MISSING)))
 
 
-def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return named_email(split_txn(spark, sf_dir).filter("split = 'train'"))
+def train_rows(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    return named_email(split_txn(spark, sf_dir, "P_emaildomain", *cols).filter("split = 'train'"))
 
 
-def numbered_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return global_row_id(train_rows(spark, sf_dir), ORDER, "row_id")
+def numbered_train(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    return global_row_id(train_rows(spark, sf_dir, "card1", *cols), ORDER, "row_id")
 
 
 def card_email_vocabs(train: DataFrame) -> tuple[DataFrame, DataFrame]:

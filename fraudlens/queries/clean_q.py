@@ -75,7 +75,7 @@ def p06(spark, d):
     WITH m AS (SELECT median(TransactionAmt) AS ma, median(D1) AS md FROM split WHERE split = 'train')
     SELECT TransactionID, split, coalesce(TransactionAmt, ma) AS TransactionAmt, coalesce(D1, md) AS D1 FROM split, m""")
 def p07(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "TransactionAmt", "D1")
     filled = c.MedianImputer(["TransactionAmt", "D1"], "train").fit(rows).transform(rows)
     return filled.select("TransactionID", "split", "TransactionAmt", "D1")
 

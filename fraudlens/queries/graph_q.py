@@ -57,7 +57,7 @@ def hop_sql(source: str) -> str:
 
 def small_graph(spark, d):
     """Training rows, vocabularies, node vectors and edges of the card/e-mail graph."""
-    train = numbered_train(spark, d)
+    train = numbered_train(spark, d, "D1", "C1", "isFraud")
     cards, emails = card_email_vocabs(train)
     start = g.node_offsets(g.vocab_sizes({"card": cards, "email": emails}))
     weight = F.log1p(F.col("n").cast("double"))
@@ -76,7 +76,7 @@ def small_graph(spark, d):
 
 def hetero_graph(spark, d):
     """Training rows with devices, the three vocabularies and profiles."""
-    rows = split_txn(spark, d).filter("split = 'train'")
+    rows = split_txn(spark, d, "TransactionAmt", "isFraud", "card1", "card2", "card4", "P_emaildomain", "C1", "D1").filter("split = 'train'")
     rows = add_simple_device(merge_identity(rows, b.idn(spark, d)))
     rows = fill_categorical(rows, ["P_emaildomain", "DeviceType", "DeviceInfo_simple"], "unknown")
     train = global_row_id(rows, ORDER, "row_id")
@@ -188,7 +188,7 @@ def g07_mean(spark, d):
            round(coalesce(list_sum(card_emb.emb), 0), 6) AS card_part, round(coalesce(list_sum(dev.emb), 0), 6) AS device_part
     FROM r LEFT JOIN card_emb USING (card1) LEFT JOIN dev USING (DeviceType, DeviceInfo_simple)""")
 def g08(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "TransactionAmt", "C1", "D1", "card1", "P_emaildomain")
     full = fill_categorical(
         add_simple_device(merge_identity(rows, b.idn(spark, d))), ["P_emaildomain", "DeviceType", "DeviceInfo_simple"], "unknown"
     )
@@ -221,14 +221,14 @@ def g10(spark, d):
                   FROM kept JOIN cards USING (card1) JOIN emails USING (P_emaildomain), sizes)
     SELECT unnest([c, t, t, e]) AS src, unnest([t, e, c, t]) AS dst FROM ends""")
 def g11(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "P_emaildomain")
     cards, emails = card_email_vocabs(named_email(rows.filter("split = 'train'")))
     return g.build_test_graph(named_email(rows.filter("split = 'test'")), cards, emails, ORDER)[1]
 
 
 @query("g12_node_labels", "SELECT n_cards + n_emails + row_id AS node_id, isFraud FROM train, sizes")
 def g12(spark, d):
-    train = numbered_train(spark, d)
+    train = numbered_train(spark, d, "isFraud")
     cards, emails = card_email_vocabs(train)
     vocabs, keys = {"card": cards, "email": emails}, {"card": ["card1"], "email": ["P_emaildomain"]}
     nodes = g.node_ids(vocabs, keys, train)

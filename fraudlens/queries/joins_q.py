@@ -38,7 +38,7 @@ def j02(spark, d):
     SELECT TransactionID, card1, P_emaildomain FROM test
     WHERE card1 IN (SELECT card1 FROM cards) AND P_emaildomain IN (SELECT P_emaildomain FROM emails)""")
 def j03(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "P_emaildomain")
     cards, emails = card_email_vocabs(named_email(rows.filter("split = 'train'")))
     kept, _ = filter_unseen(named_email(rows.filter("split = 'test'")), {"card1": cards, "P_emaildomain": emails})
     return kept.select("TransactionID", "card1", "P_emaildomain")
@@ -48,7 +48,7 @@ def j03(spark, d):
     SELECT count(*) AS rows_before, count(*) FILTER (WHERE seen) AS rows_after, count(*) FILTER (WHERE NOT seen) AS rows_dropped
     FROM (SELECT card1 IN (SELECT card1 FROM cards) AND P_emaildomain IN (SELECT P_emaildomain FROM emails) AS seen FROM test)""")
 def j03_report(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "P_emaildomain")
     cards, emails = card_email_vocabs(named_email(rows.filter("split = 'train'")))
     return filter_unseen(named_email(rows.filter("split = 'test'")), {"card1": cards, "P_emaildomain": emails})[1]
 
@@ -56,7 +56,7 @@ def j03_report(spark, d):
 @query("j04_dictionary_encode", """
     SELECT TransactionID, cards.idx AS card_id FROM split JOIN cards USING (card1)""")
 def j04(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "P_emaildomain")
     cards, _ = card_email_vocabs(named_email(rows.filter("split = 'train'")))
     found = lookup(rows, cards.select("card1", F.col("idx").alias("card_id")), "card1", "inner")
     return found.select("TransactionID", "card_id")
@@ -65,7 +65,7 @@ def j04(spark, d):
 @query("j05_optional_lookup", """
     SELECT TransactionID, cards.idx AS card_id FROM split LEFT JOIN cards USING (card1)""")
 def j05(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "P_emaildomain")
     cards, _ = card_email_vocabs(named_email(rows.filter("split = 'train'")))
     found = lookup(rows, cards.select("card1", F.col("idx").alias("card_id")), "card1", "left")
     return found.select("TransactionID", "card_id")
@@ -77,7 +77,7 @@ def j05(spark, d):
     SELECT TransactionID, {steady_sql("coalesce(am, 0)", 4)} AS amt_mean, coalesce(ac, 0) AS amt_count, round(coalesce(fr, 0), 6) AS fraud_rate,
            CAST(coalesce(fc, 0) AS BIGINT) AS fraud_count FROM split LEFT JOIN s USING (card1)""")
 def j06(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "TransactionAmt", "isFraud")
     stats = settle(entity_stats(rows.filter("split = 'train'"), ["card1"], missing=None), "stats")
     joined = attach_stats(rows, stats, ["card1"])
     return joined.select(
@@ -98,7 +98,7 @@ def j07(spark, d):
 
 @query("j08_take_split", "SELECT TransactionID, TransactionDT, isFraud FROM split WHERE split = 'test'")
 def j08(spark, d):
-    return take(split_txn(spark, d), "test").select("TransactionID", "TransactionDT", "isFraud")
+    return take(split_txn(spark, d, "isFraud"), "test").select("TransactionID", "TransactionDT", "isFraud")
 
 
 @query("j09_attach_weights", """
@@ -123,7 +123,7 @@ def j11(spark, d):
     from fraudlens.functions.scalars import zero_default
     from fraudlens.operators.graph import build_edges_card_email, node_offsets, vocab_sizes
 
-    train = numbered_train(spark, d)
+    train = numbered_train(spark, d, "D1")
     cards, emails = card_email_vocabs(train)
     start = node_offsets(vocab_sizes({"card": cards, "email": emails}))["txn"]
     feats = settle(train.select((F.col("row_id") + start).alias("src"), zero_default(F.col("D1")).alias("x")), "features")
@@ -165,5 +165,5 @@ def u02(spark, d):
 @query("u03_entities_not_seen", """
     SELECT DISTINCT card1 FROM test WHERE card1 NOT IN (SELECT card1 FROM cards)""")
 def u03(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1")
     return anti(rows.filter("split = 'test'").select("card1").distinct(), rows.filter("split = 'train'"), "card1")

@@ -45,7 +45,7 @@ def m02(spark, d):
                       CASE isFraud WHEN 1 THEN zeros / CAST(ones AS DOUBLE) ELSE 1.0 END AS positive FROM split, w WHERE split = 'train')
     SELECT TransactionID, 1.0::DOUBLE AS none, round(balanced, 6) AS sample, round(positive, 6) AS pos, round(balanced * positive, 6) AS both FROM v""")
 def m03(spark, d):
-    rows = split_txn(spark, d).filter("split = 'train'").select("TransactionID", "isFraud")
+    rows = split_txn(spark, d, "isFraud").filter("split = 'train'").select("TransactionID", "isFraud")
     for regime in mo.REGIMES:
         rows = mo.regime_weights(rows, "isFraud", regime, regime)
     return rows.select("TransactionID", *[F.round(r, 6).alias(r) for r in mo.REGIMES])

@@ -23,7 +23,7 @@ def w01(spark, d):
 
 @query("w02_time_split", "SELECT TransactionID, split FROM split")
 def w02(spark, d):
-    return split_txn(spark, d).select("TransactionID", "split")
+    return split_txn(spark, d, "TransactionID").select("TransactionID", "split")
 
 
 @query("w02_three_way_split", """
@@ -46,7 +46,7 @@ def w03(spark, d):
 
 @query("w04_first_seen_vocab", "SELECT card1, idx, n FROM cards")
 def w04(spark, d):
-    return o.first_seen_vocab(train_rows(spark, d), ["card1"], ORDER)
+    return o.first_seen_vocab(train_rows(spark, d, "card1"), ["card1"], ORDER)
 
 
 @query("w05_label_encode", """
@@ -67,7 +67,7 @@ def w05(spark, d):
     SELECT TransactionID, coalesce(k.code, 0) AS card1, coalesce(e.code, (SELECT code FROM e WHERE v = 'unknown'), 0) AS P_emaildomain
     FROM split LEFT JOIN k USING (card1) LEFT JOIN e ON e.v = coalesce(split.P_emaildomain, 'unknown')""")
 def w06(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1", "P_emaildomain")
     encoder = LabelEncoder(["card1", "P_emaildomain"]).fit(rows.filter("split = 'train'"))
     return encoder.transform(rows).select("TransactionID", "card1", "P_emaildomain")
 
@@ -78,7 +78,7 @@ def w06(spark, d):
     SELECT TransactionID, coalesce(k.code, (SELECT code FROM k WHERE v = '__UNKNOWN__')) AS card1
     FROM split LEFT JOIN k ON k.v = CAST(split.card1 AS VARCHAR)""")
 def w06_reserved(spark, d):
-    rows = split_txn(spark, d)
+    rows = split_txn(spark, d, "card1")
     encoder = LabelEncoder(["card1"], reserve_unseen=True).fit(rows.filter("split = 'train'"))
     return encoder.transform(rows).select("TransactionID", "card1")
 
@@ -87,7 +87,7 @@ def w06_reserved(spark, d):
     SELECT 'card' AS ntype, 0::BIGINT AS first_id FROM sizes UNION ALL SELECT 'email', n_cards FROM sizes
     UNION ALL SELECT 'txn', n_cards + n_emails FROM sizes""")
 def w07(spark, d):
-    cards, emails = card_email_vocabs(train_rows(spark, d))
+    cards, emails = card_email_vocabs(train_rows(spark, d, "card1"))
     found = node_offsets(vocab_sizes({"card": cards, "email": emails}))
     return spark.createDataFrame(list(found.items()), "ntype string, first_id bigint")
 
@@ -171,7 +171,7 @@ def _scaled(rows, fit_on):
 
 @query("m01_standardise_train", _SCALED.format(rows="split", where="WHERE split = 'train'"))
 def m01_train(spark, d):
-    return _scaled(split_txn(spark, d), "train")
+    return _scaled(split_txn(spark, d, "D1", "C1"), "train")
 
 
 @query("m01_standardise_all", _SCALED.format(rows="txn", where=""))

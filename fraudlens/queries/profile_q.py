@@ -57,20 +57,20 @@ def a03_selection(spark, d):
     f"SELECT '{c}' AS column, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std FROM split WHERE split = 'train'"
     for c in ("TransactionAmt", "C1", "D1")))
 def a04(spark, d):
-    stats = Scaler(["TransactionAmt", "C1", "D1"]).fit(split_txn(spark, d)).table(spark)
+    stats = Scaler(["TransactionAmt", "C1", "D1"]).fit(split_txn(spark, d, "TransactionAmt", "C1", "D1")).table(spark)
     return stats.select("column", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
 
 
 @query("a05_label_rate", """
     SELECT split, count(*) AS n_rows, round(avg(isFraud), 6) AS label_rate FROM split GROUP BY split""")
 def a05(spark, d):
-    return _rounded(p.label_rate(split_txn(spark, d), "split", "isFraud"), "label_rate")
+    return _rounded(p.label_rate(split_txn(spark, d, "isFraud"), "split", "isFraud"), "label_rate")
 
 
 @query("a05_rate_gap", """
     SELECT round(abs(avg(isFraud) FILTER (WHERE split = 'train') - avg(isFraud) FILTER (WHERE split = 'test')), 6) AS rate_gap FROM split""")
 def a05_gap(spark, d):
-    return _rounded(p.rate_gap(split_txn(spark, d), "split", "isFraud", "train", "test"), "rate_gap")
+    return _rounded(p.rate_gap(split_txn(spark, d, "isFraud"), "split", "isFraud", "train", "test"), "rate_gap")
 
 
 @query("a06_pos_weight", """
@@ -78,7 +78,7 @@ def a05_gap(spark, d):
            round(CAST(count(*) FILTER (WHERE isFraud = 0) AS DOUBLE) / greatest(1, count(*) FILTER (WHERE isFraud = 1)), 6)
            AS scale_pos_weight FROM split WHERE split = 'train'""")
 def a06(spark, d):
-    return _rounded(p.pos_weight(split_txn(spark, d).filter("split = 'train'"), "isFraud"), "scale_pos_weight")
+    return _rounded(p.pos_weight(split_txn(spark, d, "isFraud").filter("split = 'train'"), "isFraud"), "scale_pos_weight")
 
 
 @query("a07_class_weights", """
@@ -99,7 +99,7 @@ def a08(spark, d):
            round(avg(isFraud), 6) AS fraud_rate, CAST(sum(isFraud) AS BIGINT) AS fraud_count
     FROM split WHERE split = 'train' GROUP BY 1, 2, 3""")
 def a09(spark, d):
-    stats = entity_stats(split_txn(spark, d).filter("split = 'train'"), ["card1", "card2", "card4"])
+    stats = entity_stats(split_txn(spark, d, "card1", "card2", "card4", "TransactionAmt", "isFraud").filter("split = 'train'"), ["card1", "card2", "card4"])
     return _rounded(stats.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
 
 
@@ -108,7 +108,7 @@ def a09(spark, d):
            count(TransactionAmt) AS amt_count, round(avg(isFraud), 6) AS fraud_rate
     FROM split WHERE split = 'train' GROUP BY 1""")
 def a10(spark, d):
-    stats = entity_stats(split_txn(spark, d).filter("split = 'train'"), ["P_emaildomain"], stats=PAIR_STATS)
+    stats = entity_stats(split_txn(spark, d, "P_emaildomain", "TransactionAmt", "isFraud").filter("split = 'train'"), ["P_emaildomain"], stats=PAIR_STATS)
     return _rounded(stats.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
 
 
@@ -119,7 +119,7 @@ def a10(spark, d):
            {steady_sql("coalesce(avg(TransactionAmt), 0)", 4)} AS amt_mean, count(TransactionAmt) AS amt_count, round(avg(isFraud), 6) AS fraud_rate
     FROM m WHERE split = 'train' GROUP BY 1, 2""")
 def a11(spark, d):
-    train = split_txn(spark, d).filter("split = 'train'")
+    train = split_txn(spark, d, "TransactionAmt", "isFraud").filter("split = 'train'")
     rows = add_simple_device(merge_identity(train, b.idn(spark, d)))
     stats = entity_stats(rows, ["DeviceType", "DeviceInfo_simple"], stats=PAIR_STATS)
     return _rounded(stats.withColumn("amt_mean", steady(F.col("amt_mean"), 4)), "fraud_rate")
@@ -147,7 +147,7 @@ def a15(spark, d):
     FROM split GROUP BY split""")
 def m11(spark, d):
     features = ["TransactionAmt", "ProductCD", "card1", "card2", "card4", "C1", "D1"]
-    return _rounded(p.dataset_report(split_txn(spark, d), "split", "isFraud", features), "label_rate", "scale_pos_weight")
+    return _rounded(p.dataset_report(split_txn(spark, d, "isFraud"), "split", "isFraud", features), "label_rate", "scale_pos_weight")
 
 
 CARD_RISK = """

@@ -107,7 +107,7 @@ def s06(spark, d):
     SELECT 'train' AS split, count(*) AS n_rows, sum(isFraud)::BIGINT AS n_fraud FROM split WHERE split = 'train'
     UNION ALL SELECT 'test', count(*), sum(isFraud)::BIGINT FROM split WHERE split = 'test'""")
 def s07(spark, d):
-    path = write_splits(split_txn(spark, d), workspace(spark, "splits"))
+    path = write_splits(split_txn(spark, d, "isFraud"), workspace(spark, "splits"))
     out = None
     for value in ("train", "test"):
         part = read_split(spark, path, value).agg(
@@ -121,7 +121,7 @@ def s07(spark, d):
     SELECT 'tabular' AS model_type, round(CAST(sum(1 - isFraud) AS DOUBLE) / greatest(1, sum(isFraud)), 6) AS scale_pos_weight,
            count(*) AS n_rows FROM split WHERE split = 'train'""")
 def s08(spark, d):
-    train = split_txn(spark, d).filter("split = 'train'")
+    train = split_txn(spark, d, "isFraud").filter("split = 'train'")
     stats = train.agg(F.count("*").alias("n")).first()
     weight = pos_weight(train, "isFraud").first()["scale_pos_weight"]
     content = {"model_type": "tabular", "scale_pos_weight": weight, "n_rows": stats["n"]}
