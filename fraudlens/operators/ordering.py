@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fraudlens.session import settle
 
 BLOCK, POS = "_block", "_pos"
-FEW_TIES = 100_000  # a tie group up to this size is cut by a plain top-n
+FEW_TIES = 100_000  # a tie group or hash bucket up to this size is cut by a plain top-n
 _POS_BITS = 33  # monotonically_increasing_id keeps the row's place within its partition in 33 bits
 
 
@@ -233,7 +233,10 @@ def stratified_split(
         hit = cum.filter((F.col("_upto") > target) & (F.col("_upto") - F.col("_n") <= target)).first()
         bucket = narrow.filter(F.col("_c").eqNullSafe(F.lit(value)) & (F.col("_p") == hit["_p"]))
         inside = target - (hit["_upto"] - hit["_n"])
-        cut = global_row_id(bucket, ["_h", "_k"], "_at").filter(F.col("_at") == inside).first()
+        if hit["_n"] <= FEW_TIES:
+            cut = bucket.orderBy("_h", "_k").offset(inside).limit(1).first()
+        else:
+            cut = global_row_id(bucket, ["_h", "_k"], "_at").filter(F.col("_at") == inside).first()
         upto = (digest < F.lit(cut["_h"])) | ((digest == F.lit(cut["_h"])) & (F.col(key) <= F.lit(cut["_k"])))
         is_test = is_test | (F.col(label).eqNullSafe(F.lit(value)) & upto)
     return df.withColumn(name, F.when(is_test, F.lit(labels[1])).otherwise(F.lit(labels[0])))

@@ -11,7 +11,7 @@ from fraudlens.functions.scalars import nan_to_null, ratio
 from fraudlens.operators.ordering import running
 from fraudlens.schema import family_counts
 
-SMALL_CELLS = 20_000_000  # up to this many values Spark's own median may hold them in its buffers
+SMALL_CELLS = 5_000_000  # up to this many values Spark's own median may hold them in its buffers
 SAMPLE_ROWS = 1_000  # the least number of rows a bracket around the median is taken from
 
 

@@ -1,6 +1,6 @@
 """Command line of the preprocessing job.
 
-    spark-submit -m fraudlens.plans.job --transactions T --output O [--identities I] [--sample-size N]
+    python -m fraudlens.plans.job --transactions T --output O [--identities I] [--sample-size N]
 
 Inputs are CSV or Parquet. Outputs are skipped when they are complete and were made from the same inputs.
 """
