@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -72,7 +73,8 @@ class Counter2:
                 counts.append(self.lengths([text])[0])
             elif None in m:
                 young = self.young
-                counts.append(sum([n if n is not None else young[w] if w in young else known[w] for w, n in zip(s, m)]))
+                rare = [w for w, n in zip(s, m) if n is None]
+                counts.append(sum(filter(None, m)) + sum([young[w] if w in young else known[w] for w in rare]))
             else:
                 counts.append(sum(m))
         self.young.update((w, n) for w, n in known.items() if len(w) <= WORD)
@@ -120,12 +122,12 @@ def count_tokens(
     spark = docs.sparkSession
     ship(spark)
     words = frequent_pre_tokens(docs, text_col)
-    table = spark.sparkContext.broadcast((words, bytes(min(n, 255) for n in Counter2(locate(), {}).lengths(words))))
+    table = spark.sparkContext.broadcast((uuid.uuid4().hex, words, Counter2(locate(), {}).lengths(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path, key = locate(), str(hash(table.value))
+        path, (key, *known) = locate(), table.value
         if _COUNTERS.get(path, ("",))[0] != key:
-            _COUNTERS[path] = key, Counter2(path, dict(zip(*table.value)))
+            _COUNTERS[path] = key, Counter2(path, dict(zip(*known)))
         count = _COUNTERS[path][1]
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
