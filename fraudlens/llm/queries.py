@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fraudlens.llm.common import table
 from fraudlens.llm.bytebpe import digests, encode_documents
+from fraudlens.llm.decontaminate import contamination
 from fraudlens.llm.simhash import simhash_groups
 from fraudlens.llm.tokencount import count_tokens
 
@@ -42,6 +43,43 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), word_bpe, limit=2048)
 
 
+OP5 = r"""
+WITH dw AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, n, array_to_string(w[s:s + n - 1], ' ') AS p
+  FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM iw WHERE len(w) > 0)),
+pos AS (
+  SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS p
+  FROM (SELECT doc_id, w, n, unnest(range(1, CAST(len(w) - n + 2 AS BIGINT))) AS s FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT doc_id, s, pos.n, item FROM pos JOIN win ON pos.p = win.p AND pos.n = win.n),
+agg AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS k FROM hits) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS h
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN agg USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+@query("op5_decontamination", OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.col("hit_words").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("hit_words") > 0).alias("contaminated"),
+    )
+
+
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
