@@ -10,6 +10,8 @@ from fraudlens.llm.common import table
 from fraudlens.llm.bytebpe import digests, encode_documents
 from fraudlens.llm.decontaminate import contamination
 from fraudlens.llm.simhash import simhash_groups
+from fraudlens.llm.substring import substring_dedup
+from fraudlens.llm.suffix import suffix_dedup
 from fraudlens.llm.tokencount import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +40,26 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+OP3 = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, CAST(len(w) - 18 AS BIGINT))) AS s FROM d WHERE len(w) >= 20)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM late),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, CAST(len(w) + 1 AS BIGINT))) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) AS BIGINT) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op3_substring_dedup", OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), word_bpe, limit=2048)
@@ -80,6 +102,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP6 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT doc_id, s, substr(h, 2 * s + 1, 100) AS k
+  FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) // 2 - 49 AS BIGINT))) AS s FROM d WHERE length(h) >= 100)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY k) AS least FROM win) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM late),
+bytes AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS b FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS p FROM d)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(b, '' ORDER BY p) AS t FROM bytes ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+spans AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM gone)
+          WHERE gap IS NULL OR gap > 1 GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, length(h) // 2 - coalesce(kept.n, 0) AS n_removed, coalesce(spans.n, 0) AS n_spans,
+       sha256(unhex(coalesce(t, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN spans USING (doc_id)"""
+
+
+@query("op6_suffix_dedup", OP6)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
