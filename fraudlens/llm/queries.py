@@ -13,6 +13,7 @@ from fraudlens.llm.simhash import simhash_groups
 from fraudlens.llm.substring import substring_dedup
 from fraudlens.llm.suffix import suffix_dedup
 from fraudlens.llm.tokencount import count_tokens
+from fraudlens.llm.vectors import vector_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +41,26 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+OP2 = """
+WITH RECURSIVE
+v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS u, vec_id AS v FROM embeddings UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+least AS (SELECT u, min(v) AS c FROM reach GROUP BY u),
+deg AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id = c AS kept
+FROM embeddings JOIN least ON vec_id = least.u LEFT JOIN deg ON vec_id = deg.u"""
+
+
+@query("op2_vector_groups", OP2)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
 OP3 = r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 win AS (

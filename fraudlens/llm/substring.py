@@ -106,7 +106,7 @@ def substring_dedup(docs: DataFrame, length: int = WINDOW, id_col: str = "doc_id
         late[order] = doc[order] > least[run]
         return late
 
-    def finish(_, rows: pa.Table, marks: pa.Table) -> pa.Table:
+    def finish(_key: tuple[pa.Scalar, ...], rows: pa.Table, marks: pa.Table) -> pa.Table:
         texts = Texts(rows)
         found = Windows(texts, length, n)
         late = ~found.fresh

@@ -278,7 +278,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         times = np.bincount(run, data[:, 8])
         return np.stack([chunks[run] > 1, times[run] >= HOT], axis=1)
 
-    def send_snippets(_, rows: pa.Table, marks: pa.Table) -> pa.Table:
+    def send_snippets(_key: tuple[pa.Scalar, ...], rows: pa.Table, marks: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pack(0, np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, width), np.uint8))
         texts = Texts(rows)
@@ -286,7 +286,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         order = np.argsort(sent.least, kind="stable")
         return pack(rows.column("chunk")[0].as_py(), sent.bucket[order], sent.least[order], sent.rows[order])
 
-    def finish(_, rows: pa.Table, marks: pa.Table) -> pa.Table:
+    def finish(_key: tuple[pa.Scalar, ...], rows: pa.Table, marks: pa.Table) -> pa.Table:
         texts = Texts(rows)
         kind = marks.column("kind").to_numpy()
         sent = Snippets(texts, Anchors(texts, length), marks.filter(pa.array(kind == 0)), length, n)
