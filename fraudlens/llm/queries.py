@@ -13,6 +13,7 @@ from fraudlens.llm.simhash import simhash_groups
 from fraudlens.llm.substring import substring_dedup
 from fraudlens.llm.suffix import suffix_dedup
 from fraudlens.llm.tokencount import count_tokens
+from fraudlens.llm.toxicity import score_toxicity, train_toxicity
 from fraudlens.llm.vectors import vector_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +42,22 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+TOXIC = 0.7  # score from which a text counts as toxic
+
+
+def held_out():
+    """Rows whose labels are never learnt from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 OP2 = """
 WITH RECURSIVE
 v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
