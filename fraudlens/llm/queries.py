@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fraudlens.llm.common import table
 from fraudlens.llm.bytebpe import digests, encode_documents
 from fraudlens.llm.decontaminate import contamination
+from fraudlens.llm.licences import TEMPLATES, licence_scan
+from fraudlens.llm.lines import line_dedup
 from fraudlens.llm.simhash import simhash_groups
 from fraudlens.llm.substring import substring_dedup
 from fraudlens.llm.suffix import suffix_dedup
@@ -169,6 +171,46 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _values() -> str:
+    quoted = [(licence, text.replace("'", "''")) for licence, text in TEMPLATES]
+    return ", ".join(f"({i}, '{licence}', '{text}')" for i, (licence, text) in enumerate(quoted))
+
+
+def _bigrams(w: str) -> str:
+    return f"CASE WHEN len({w}) > 1 THEN list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])) ELSE {w} END"
+
+
+def _words(text: str) -> str:
+    return f"""list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+
+OP7 = f"""
+WITH t AS (SELECT template, licence, {_bigrams('w')} AS b FROM (
+       SELECT template, licence, {_words('text')} AS w FROM (VALUES {_values()}) v(template, licence, text))),
+tb AS (SELECT template, licence, len(b) AS b, unnest(b) AS bigram FROM t),
+lines AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+units AS (
+  SELECT doc_id, unnest(l) AS text, unnest(range(0, len(l))) AS unit FROM lines
+  UNION ALL SELECT doc_id, text, -1 FROM lines WHERE len(l) > 1),
+ub AS (SELECT doc_id, unit, {_bigrams('w')} AS a FROM (SELECT doc_id, unit, {_words('text')} AS w FROM units)),
+ur AS (SELECT doc_id, unit, len(a) AS a, unnest(a) AS bigram FROM ub),
+hits AS (
+  SELECT doc_id, unit, template, licence, 2.0::DOUBLE * count(*) / (a + b) AS dice
+  FROM ur JOIN tb USING (bigram) GROUP BY doc_id, unit, a, template, licence, b),
+found AS (
+  SELECT doc_id, count(DISTINCT unit) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS l, max(dice) AS d
+  FROM hits WHERE dice >= 0.8 GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_notices, coalesce(l, '') AS licences, coalesce(d, 0.0::DOUBLE) AS best_dice
+FROM documents LEFT JOIN found USING (doc_id)"""
+
+
+@query("op7_licence_scan", OP7)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence_scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_notices", F.concat_ws(",", "licences").alias("licences"), "best_dice")
+
+
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
@@ -179,3 +221,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_groups")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op9_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
