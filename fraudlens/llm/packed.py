@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm.common import partitions
 
-SHARE = 4  # chunks and buckets per shuffle partition
+SHARE = 2  # chunks and buckets per shuffle partition
 PACKED = "bucket int, chunk int, data binary, docs binary, counts binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("data", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary())])
 JUDGED = "chunk int, bucket int, bits binary"
