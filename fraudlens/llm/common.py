@@ -81,6 +81,16 @@ def run_starts(sorted_keys: np.ndarray) -> np.ndarray:
     return first
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the place of each key among them, and how often each occurs."""
+    order = np.argsort(keys, kind="stable")
+    first = run_starts(keys[order])
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(first) - 1
+    at = np.flatnonzero(first)
+    return keys[order[at]], place, np.diff(np.append(at, len(keys)))
+
+
 def whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Columns of a sorted partition, cut so that no run of the first column is torn apart."""
     held = None

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fraudlens.llm.common import mix64, run_starts, ship
+from fraudlens.llm.common import grouped, mix64, run_starts, ship
 from fraudlens.llm.packed import JUDGED, PACKED, Texts, chunked, judged, pack, returned
 
 LENGTH = 50
@@ -16,7 +16,8 @@ GRAM = 24  # bytes of an anchor
 PERIOD, COVER = 13, (0, 1, 3, 9)  # a perfect difference cover: every difference modulo 13 lies between two of its members
 STRIDE = 80  # bytes of a row in a bucket's text
 HOT = 1_000  # occurrences from which the windows of an anchor are dealt one by one
-BLOCK = 4 << 20  # bytes that are scanned, and suffixes that are sorted, at once
+SCAN = 1 << 18  # bytes that are scanned at once, so that they stay in the processor's cache
+BLOCK = 4 << 20  # suffixes that are sorted at once
 _PLACE = np.uint64((1 << 31) - 1)
 
 
@@ -69,7 +70,7 @@ class Anchors:
     def _blocks(texts: Texts) -> Iterator[tuple[int, int]]:
         lo, n = 0, len(texts.texts)
         while lo < n:
-            hi = max(lo + 1, int(np.searchsorted(texts.ends, texts.starts[lo] + BLOCK, side="right")))
+            hi = max(lo + 1, int(np.searchsorted(texts.ends, texts.starts[lo] + SCAN, side="right")))
             yield lo, hi
             lo = hi
 
@@ -183,6 +184,17 @@ def equal_to_previous(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarr
 
 def late_windows(rows: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
     """For rows ``[size, bytes...]`` of a bucket: which of their windows also stand in a row of a smaller document."""
+    whole, width = rows.tobytes(), rows.shape[1]
+    seen: dict[bytes, int] = {}
+    of = np.array([seen.setdefault(whole[i:i + width], len(seen)) for i in range(0, len(whole), width)], np.int64)
+    least = np.full(len(seen), np.iinfo(np.int64).max)
+    np.minimum.at(least, of, doc)
+    different = np.frombuffer(b"".join(seen), np.uint8).reshape(-1, width)
+    late = _late(different, least, length)[of] | (doc > least[of])[:, None]
+    return late & (np.arange(width - length) < (rows[:, :1].astype(np.int64) - length + 1))
+
+
+def _late(rows: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
     n, most = len(rows), rows.shape[1] - length
     text = np.zeros((n + 2, STRIDE), np.uint8)
     text[:n, :rows.shape[1] - 1] = rows[:, 1:]
@@ -203,7 +215,7 @@ class Snippets:
     """What a chunk sends to the suffix buckets: its distinct runs of windows whose anchors other texts share."""
 
     def __init__(self, texts: Texts, anchors: Anchors, marks: pa.Table, length: int, buckets: int):
-        gram, where = np.unique(anchors.gram, return_inverse=True)
+        gram, where, _ = grouped(anchors.gram)
         shared, hot = returned(marks, bucket_of(gram, buckets), 2).T if len(gram) else (np.zeros(0, bool),) * 2
         shared = shared | shared_inside(anchors, where, len(gram))
         runs = np.flatnonzero(shared[where]) if len(gram) else np.zeros(0, np.int64)
@@ -268,13 +280,13 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     def send_anchors(rows: pa.Table) -> pa.Table:
         anchors = Anchors(Texts(rows), length)
-        gram, times = np.unique(anchors.gram, return_counts=True)
+        gram, _, times = grouped(anchors.gram)
         data = np.concatenate([gram.view(np.uint8).reshape(-1, 8), np.minimum(times, 255).astype(np.uint8)[:, None]], axis=1)
         return pack(rows.column("chunk")[0].as_py(), bucket_of(gram, n), np.zeros(len(gram), np.int64), data)
 
     def judge_anchors(data: np.ndarray, _doc: np.ndarray, _sizes: list[int]) -> np.ndarray:
         key = np.ascontiguousarray(data[:, :8]).view(np.uint64).ravel()
-        _, run, chunks = np.unique(key, return_inverse=True, return_counts=True)
+        _, run, chunks = grouped(key)
         times = np.bincount(run, data[:, 8])
         return np.stack([chunks[run] > 1, times[run] >= HOT], axis=1)
 
