@@ -62,14 +62,15 @@ TEMPLATES = [
 
 def bigrams(w: Column) -> Column:
     """Different pairs of neighbouring words; a single word stands for itself."""
-    pairs = F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1)))
+    pairs = F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda x, y: F.concat(x, F.lit(" "), y))
     return F.when(F.size(w) > 1, F.array_distinct(pairs)).otherwise(w)
 
 
 def template_bigrams(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     """``(template, licence, b, bigram)``: as many rows as the given templates have bigrams, fixed by the list."""
     table = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(k).alias("licence"), F.lit(t).alias("text")) for i, (k, t) in enumerate(templates)))
-    rows = spark.range(1).select(F.explode(table).alias("t")).select("t.template", "t.licence", bigrams(words(F.col("t.text"))).alias("all"))
+    rows = spark.range(1).select(F.explode(table).alias("t")).select("t.template", "t.licence", words(F.col("t.text")).alias("w"))
+    rows = rows.select("template", "licence", bigrams(F.col("w")).alias("all"))
     return rows.select("template", "licence", F.size("all").alias("b"), F.explode("all").alias("bigram"))
 
 
@@ -85,13 +86,12 @@ def licence_matches(
     """
     known = template_bigrams(docs.sparkSession, templates)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.split(text, "\n")
-    units = F.when(F.size(lines) > 1, F.concat(lines, F.array(text))).otherwise(lines)
-    rows = docs.select(F.col(id_col).alias("id"), F.size(lines).alias("n"), F.posexplode(units).alias("at", "unit_text"))
-    unit = F.when(F.col("at") < F.col("n"), F.col("at")).otherwise(F.lit(-1)).alias("unit")
-    rows = rows.select("id", unit, bigrams(words(F.col("unit_text"))).alias("all")).withColumn("a", F.size("all"))
+    whole = F.when(F.contains(text, F.lit("\n")), text)  # a text of one line is that line
+    rows = docs.select(F.col(id_col).alias("id"), F.posexplode(F.concat(F.array(whole), F.split(text, "\n"))).alias("at", "unit_text"))
+    rows = rows.select("id", (F.col("at") - 1).alias("unit"), words(F.col("unit_text")).alias("w"))
+    rows = rows.select("id", "unit", bigrams(F.col("w")).alias("all")).withColumn("a", F.size("all"))
     near = (2 - least) / least
-    rows = rows.filter("a > 0").select("id", "unit", "a", F.explode("all").alias("bigram"))
+    rows = rows.select("id", "unit", "a", F.explode("all").alias("bigram"))
     bound = (F.col("a") <= F.col("b") * near) & (F.col("b") <= F.col("a") * near)
     hits = rows.join(F.broadcast(known), "bigram").filter(bound)
     counted = hits.groupBy("id", "unit", "a", "template", "licence", "b").agg(F.count("*").alias("c"))
