@@ -60,6 +60,14 @@ def in_chunks(rows: Iterator[tuple], size, most: int) -> Iterator[list]:
         yield held
 
 
+def carried(df: DataFrame, columns: list[str]) -> tuple[DataFrame, str, dict[str, str]]:
+    """``columns`` under positional names, their schema as text, and the place of each: Python code between
+    Arrow batches may then add columns whatever the names are."""
+    rows = df.select(*(df[c].alias(f"c{i}") for i, c in enumerate(columns)))
+    kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(rows.schema.fields))
+    return rows, kinds, {c: f"c{i}" for i, c in enumerate(columns)}
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
 

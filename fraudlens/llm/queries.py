@@ -56,7 +56,7 @@ def held_out():
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train_toxicity(docs, table(spark, sf_dir, "labels").filter(~held_out()))
-    scored = score_toxicity(docs, model)
+    scored = score_toxicity(docs, model, keep=["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 

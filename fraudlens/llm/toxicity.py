@@ -10,7 +10,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from fraudlens.llm.common import in_chunks, run_starts, ship
+from fraudlens.llm.common import carried, in_chunks, run_starts, ship
 
 SLOTS = 1 << 16  # hashed n-gram vectors
 WIDTH = 8  # components of a vector
@@ -237,24 +237,28 @@ def train_toxicity(
     return Model.unpack(packed[0]["model"]) if packed else train([], np.zeros(0))
 
 
-def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``, 0 to 1: the softmax of the averaged subword vectors of a text's most toxic segment.
+def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all, unless given) and ``score``, 0 to 1: the softmax of the averaged
+    subword vectors of a text's most toxic segment.
 
     Whole texts are read; a text without words (null, empty, punctuation) has the score of the biases
-    alone. The model has a fixed size and is broadcast. No shuffle; columns are kept as they are; an
-    empty table gives no rows.
+    alone. The model has a fixed size and is broadcast. No shuffle; every row is scored by itself, so
+    repeated rows have equal scores; a column that is called ``score`` already gives way; an empty table
+    gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model.pack())
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
+    rows, kinds, place = carried(docs.withColumn("__scored", docs[text_col]), [*names, "__scored"])
+    kinds = kinds.rpartition(", ")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(Model.unpack(shared.value))
         for batch in batches:
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for part in in_chunks(pairs, lambda r: len(r[1] or ""), CHUNK):
-                found = score([t or "" for _, t in part])
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], pa.int64()), pa.array(found)], ["id", "score"])
+            found = [score([t or "" for t in part]) for part in in_chunks(iter(batch.column(len(names)).to_pylist()), lambda t: len(t or ""), CHUNK)]
+            values = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], [*batch.schema.names[:-1], "score"])
 
-    return rows.mapInArrow(run, "id long, score double").withColumnRenamed("id", id_col)
+    scored = rows.mapInArrow(run, f"{kinds}, score double")
+    return scored.select(*(F.col(place[c]).alias(c) for c in names), "score")
