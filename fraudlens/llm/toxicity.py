@@ -20,7 +20,7 @@ TOXIC_ROWS, CLEAN_ROWS = 2_000, 4_000  # bound of the training sample
 TRAIN_BYTES = 64_000  # longer texts are not trained on
 CACHED = 200_000  # word scores in each of the two generations of a worker's cache
 CHUNK = 4 << 20
-RATES = (20.0, 0.1, 0.1)  # step lengths of vectors, softmax rows and biases
+RATES = (5.0, 0.1, 0.1)  # step lengths of vectors, softmax rows and biases
 EMPTY = 0.05  # weight of an empty clean text beside the training texts
 
 _WORD = regex.compile(r"[^\W_]+")
@@ -62,7 +62,7 @@ class Model:
 
     def slopes(self) -> np.ndarray:
         """What each n-gram adds to the difference of the two logits: averages are linear, so it can be found once."""
-        return (self.vectors @ (self.rows[1] - self.rows[0])).astype(np.float64)
+        return (self.vectors.astype(np.float64) * (self.rows[1] - self.rows[0])).sum(1)
 
     def offset(self) -> float:
         return float(self.bias[1] - self.bias[0])
@@ -123,7 +123,7 @@ class _Descent:
         self.value -= self.rate / (1 - 0.9**self.t) / size * self.mean
 
 
-def train(texts: list[str], labels: np.ndarray, warm: int = 40, steps: int = 60, seed: int = 7) -> Model:
+def train(texts: list[str], labels: np.ndarray, warm: int = 10, steps: int = 110, seed: int = 7) -> Model:
     """Fit vectors and softmax together, full batch, on segments of texts.
 
     First every segment has its text's label. Then each text is judged by its most toxic segment, the
