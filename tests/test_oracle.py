@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from check_oracle import connect, differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.base.QUERIES, entry.base.ORACLES
 
 
 @pytest.fixture(scope="module")
