@@ -22,6 +22,7 @@ PACKED = "bucket int, chunk int, data binary, docs binary, counts binary"
 _PACKED = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("data", pa.binary()), ("docs", pa.binary()), ("counts", pa.binary())])
 JUDGED = "chunk int, bucket int, bits binary"
 _JUDGED = pa.schema([("chunk", pa.int32()), ("bucket", pa.int32()), ("bits", pa.binary())])
+NOTE = -1  # in the place of a bucket: what a chunk has sent to itself
 NO_ID = np.iinfo(np.int64).min  # a null id, before all others
 
 
@@ -91,13 +92,29 @@ def judged(rows: pa.Table, judge: Callable[[np.ndarray, np.ndarray, list[int]],
 
     It returns ``bits`` booleans per value, sent back to the chunks in the order the values came in.
     """
+    notes = pc.equal(rows.column("docs"), b"")
+    back = rows.filter(notes)
+    rows = rows.filter(pc.invert(notes))
+    note = pa.table([back.column("chunk"), pa.array([NOTE] * back.num_rows, pa.int32()), back.column("data")], schema=_JUDGED)
+    if not rows.num_rows:
+        return note
     data = [np.frombuffer(d, np.uint8).reshape(-1, width) for d in rows.column("data").to_pylist()]
     doc = [unpack_docs(d, c) for d, c in zip(rows.column("docs").to_pylist(), rows.column("counts").to_pylist())]
     sizes = [len(d) for d in data]
     found = judge(np.concatenate(data), np.concatenate(doc), sizes).reshape(-1, bits)
     cuts = np.cumsum(sizes)[:-1]
     packed = [np.packbits(part).tobytes() for part in np.split(found, cuts)]
-    return pa.table([rows.column("chunk"), rows.column("bucket"), pa.array(packed, pa.binary())], schema=_JUDGED)
+    return pa.concat_tables([note, pa.table([rows.column("chunk"), rows.column("bucket"), pa.array(packed, pa.binary())], schema=_JUDGED)])
+
+
+def with_note(packets: pa.Table, chunk: int, note: bytes) -> pa.Table:
+    """The packets and one more that any bucket sends back as it is."""
+    return pa.concat_tables([packets, pa.table([pa.array(c, t.type) for c, t in zip(([chunk], [chunk], [note], [b""], [b""]), _PACKED)], schema=_PACKED)])
+
+
+def split_note(marks: pa.Table) -> tuple[pa.Table, bytes]:
+    own = pc.equal(marks.column("bucket"), NOTE)
+    return marks.filter(pc.invert(own)), b"".join(marks.filter(own).column("bits").to_pylist())
 
 
 def returned(rows: pa.Table, bucket: np.ndarray, bits: int = 1) -> np.ndarray:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm.common import grouped, mix64, run_starts, ship
-from fraudlens.llm.packed import JUDGED, PACKED, Texts, chunked, judged, pack, returned
+from fraudlens.llm.packed import JUDGED, PACKED, Texts, chunked, judged, pack, returned, split_note, with_note
 
 LENGTH = 50
 GRAM = 24  # bytes of an anchor
@@ -214,11 +214,11 @@ def _late(rows: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
 class Snippets:
     """What a chunk sends to the suffix buckets: its distinct runs of windows whose anchors other texts share."""
 
-    def __init__(self, texts: Texts, anchors: Anchors, marks: pa.Table, length: int, buckets: int):
+    def __init__(self, texts: Texts, anchors: Anchors, flags: Callable[[np.ndarray], np.ndarray], length: int, buckets: int):
         gram, where, _ = grouped(anchors.gram)
-        shared, hot = returned(marks, bucket_of(gram, buckets), 2).T if len(gram) else (np.zeros(0, bool),) * 2
-        shared = shared | shared_inside(anchors, where, len(gram))
-        runs = np.flatnonzero(shared[where]) if len(gram) else np.zeros(0, np.int64)
+        self.flags = flags(gram)  # of each gram: in several chunks, in many places
+        shared, hot = self.flags.T
+        runs = np.flatnonzero((shared | shared_inside(anchors, where, len(gram)))[where])
         single = np.where(hot[where[runs]], anchors.count[runs], 1)  # windows of hot anchors go one by one
         owner = np.repeat(runs, single)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(single) - single, single)
@@ -293,18 +293,22 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     def send_snippets(_key: tuple[pa.Scalar, ...], rows: pa.Table, marks: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pack(0, np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, width), np.uint8))
-        texts = Texts(rows)
-        sent = Snippets(texts, Anchors(texts, length), marks, length, n)
+        texts, chunk = Texts(rows), rows.column("chunk")[0].as_py()
+        sent = Snippets(texts, Anchors(texts, length), lambda gram: returned(marks, bucket_of(gram, n), 2), length, n)
         order = np.argsort(sent.least, kind="stable")
-        return pack(rows.column("chunk")[0].as_py(), sent.bucket[order], sent.least[order], sent.rows[order])
+        packets = pack(chunk, sent.bucket[order], sent.least[order], sent.rows[order])
+        return with_note(packets, chunk, np.packbits(sent.flags).tobytes())  # the flags come back to the chunk as they are
+
+    def judge_snippets(rows: pa.Table) -> pa.Table:
+        return judged(rows, lambda data, doc, _: late_windows(data, doc, length), width, windows)
 
     def finish(_key: tuple[pa.Scalar, ...], rows: pa.Table, marks: pa.Table) -> pa.Table:
         texts = Texts(rows)
-        kind = marks.column("kind").to_numpy()
-        sent = Snippets(texts, Anchors(texts, length), marks.filter(pa.array(kind == 0)), length, n)
+        marks, note = split_note(marks)
+        sent = Snippets(texts, Anchors(texts, length), lambda gram: np.unpackbits(np.frombuffer(note, np.uint8), count=2 * len(gram)).astype(bool).reshape(-1, 2), length, n)
         order = np.argsort(sent.least, kind="stable")
         late = np.zeros((len(order), windows), bool)
-        late[order] = returned(marks.filter(pa.array(kind == 1)), sent.bucket[order], windows)
+        late[order] = returned(marks, sent.bucket[order], windows)
         late = late[sent.of] | (texts.doc[sent.doc] > sent.least[sent.of])[:, None]
         late &= np.arange(windows) < sent.count[:, None]
         run, column = np.nonzero(late)
@@ -327,14 +331,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         sizes = pa.array(texts.ends - texts.starts, pa.int64())
         return pa.table([texts.ids(), sizes, pa.array(spans, kinds), pa.array(kept, pa.binary())], names=["doc", "n_bytes", "spans", "kept"])
 
+    def judge_grams(rows: pa.Table) -> pa.Table:
+        return judged(rows, judge_anchors, 9, 2)
+
     anchors = dealt.groupBy("chunk").applyInArrow(send_anchors, PACKED)
-    shared = anchors.groupBy("bucket").applyInArrow(lambda rows: judged(rows, judge_anchors, 9, 2), JUDGED)
+    shared = anchors.groupBy("bucket").applyInArrow(judge_grams, JUDGED)
     snippets = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(send_snippets, PACKED)
-    late = snippets.groupBy("bucket").applyInArrow(
-        lambda rows: judged(rows, lambda data, doc, _: late_windows(data, doc, length), width, windows), JUDGED
-    )
-    marks = shared.withColumn("kind", F.lit(0)).unionAll(late.withColumn("kind", F.lit(1)))
-    done = dealt.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(
+    late = snippets.groupBy("bucket").applyInArrow(judge_snippets, JUDGED)
+    done = dealt.groupBy("chunk").cogroup(late.groupBy("chunk")).applyInArrow(
         finish, "doc long, n_bytes long, spans array<struct<start long, end long>>, kept binary"
     )
     return done.select(F.col("doc").alias(id_col), "n_bytes", "spans", "kept")
