@@ -37,8 +37,8 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def idn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At most one identity per order: its cheapest first line. The minimum is a plain aggregation."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1")
+    """At most one identity per order: its cheapest line that is no return. The minimum is a plain aggregation."""
+    lines = table(spark, sf_dir, "lineitem").filter("l_returnflag <> 'R'")
     first = lines.groupBy(F.col("l_orderkey").alias("TransactionID")).agg(
         F.min(
             F.struct("l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_returnflag", "l_discount")

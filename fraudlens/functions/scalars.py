@@ -19,6 +19,15 @@ def nan_to_null(col: Column) -> Column:
     return F.when(~F.isnan(col), col)
 
 
+def number(col: Column, kind: str) -> Column:
+    """Text as a value of type ``kind``, null where it is none. Spark also reads ``10d`` and ``1f`` as numbers;
+    here digits, sign, point and exponent make a number, and infinity written out."""
+    if kind not in ("bigint", "int", "double", "float"):
+        return col.try_cast(kind)
+    written = F.trim(col).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$")
+    return F.when(written, col.try_cast(kind))
+
+
 def simplify_device(col: Column) -> Column:
     """Lower case, text before the first slash."""
     return F.split(F.lower(col), "/", 2)[0]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from fraudlens.functions.scalars import MISSING, PLACEHOLDERS, nan_to_null, simplify_device, zero_default
+from fraudlens.functions.scalars import MISSING, PLACEHOLDERS, nan_to_null, number, simplify_device, zero_default
 from fraudlens.operators.profile import column_medians
 from fraudlens.schema import FeatureSpec, cols_by_dtype, existing
 
@@ -99,7 +99,8 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def cast_roles(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Categorical columns as text, numerical ones as double; text that is no number becomes null."""
     changed = {c: _text(df, c) for c in existing(df, spec.categorical)}
-    changed |= {c: F.col(c).try_cast("double") for c in existing(df, spec.numerical)}
+    text = set(cols_by_dtype(df, "string"))
+    changed |= {c: number(F.col(c), "double") if c in text else F.col(c).try_cast("double") for c in existing(df, spec.numerical)}
     return _rewrite(df, changed)
 
 

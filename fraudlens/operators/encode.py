@@ -27,7 +27,11 @@ class LabelEncoder:
     """
 
     def __init__(self, cols: Sequence[str], reserve_unseen: bool = False, missing: str = "unknown"):
-        self.cols, self.reserve_unseen, self.missing = list(cols), reserve_unseen, missing
+        self.wanted, self.reserve_unseen, self.missing = list(cols), reserve_unseen, missing
+        self._forget()
+
+    def _forget(self) -> None:
+        self.cols: list[str] = []
         self.dictionary: DataFrame | None = None
         self.sizes: dict[str, int] = {}
         self.fallback: dict[str, int] = {}
@@ -37,7 +41,11 @@ class LabelEncoder:
         return F.coalesce(F.col(col).cast("string"), F.lit(self.missing))
 
     def fit(self, df: DataFrame) -> LabelEncoder:
-        self.cols = existing(df, self.cols)
+        """Fit anew on ``df``; nothing of an earlier fit is kept. Without columns nothing is encoded."""
+        self._forget()
+        self.cols = existing(df, self.wanted)
+        if not self.cols:
+            return self
         pair = lambda c, v: F.struct(F.lit(c).alias("column"), v.alias("value"))
         cells = F.explode(F.array(*[pair(c, self._text(c)) for c in self.cols]))
         pairs = df.select(cells.alias("_cell")).select("_cell.*").distinct()
@@ -86,13 +94,16 @@ class Scaler:
     def __init__(self, cols: Sequence[str], fit_on: str = "train", split: str = "split"):
         if fit_on not in ("all", "train"):
             raise ValueError("fit_on is 'all' or 'train'")
-        self.cols, self.fit_on, self.split = list(cols), fit_on, split
+        self.wanted, self.fit_on, self.split = list(cols), fit_on, split
+        self.cols: list[str] = []
         self.mean: dict[str, float] = {}
         self.std: dict[str, float] = {}
 
     def fit(self, df: DataFrame) -> Scaler:
         rows = df if self.fit_on == "all" else df.filter(F.col(self.split) == "train")
-        self.cols = existing(df, self.cols)
+        self.cols, self.mean, self.std = existing(df, self.wanted), {}, {}
+        if not self.cols:
+            return self
         num = {c: F.col(c).cast("double") for c in self.cols}
         stats = rows.agg(
             *[F.avg(num[c]).alias(f"m_{c}") for c in self.cols],

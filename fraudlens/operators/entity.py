@@ -13,6 +13,12 @@ CARD_STATS = ("amt_mean", "amt_count", "fraud_rate", "fraud_count")
 PAIR_STATS = ("amt_mean", "amt_count", "fraud_rate")
 
 
+def named_entities(df: DataFrame, keys: Sequence[str], missing: str = "unknown") -> DataFrame:
+    """Keys as every table of entities has them: a missing text is named ``missing``, a missing number stays
+    missing and is an entity of its own, which null-safe lookups find."""
+    return df.na.fill(missing, subset=list(keys))
+
+
 def entity_stats(
     train: DataFrame,
     keys: Sequence[str],
@@ -23,13 +29,13 @@ def entity_stats(
 ) -> DataFrame:
     """Amount mean and count, fraud rate and count per entity.
 
-    A missing text key is an entity of its own, named ``missing``; with ``missing=None`` its rows are
-    left out. One hash aggregation: a hub entity is combined in every task before the shuffle.
+    A missing key is an entity of its own, a text then named ``missing``; with ``missing=None`` its rows
+    are left out. One hash aggregation: a hub entity is combined in every task before the shuffle.
     """
     if missing is None:
         train = train.na.drop(subset=list(keys))
     else:
-        train = train.na.fill(missing, subset=list(keys))
+        train = named_entities(train, keys, missing)
     made = {
         "amt_mean": F.coalesce(F.avg(amount), F.lit(0.0)),
         "amt_count": F.count(amount),
@@ -44,7 +50,10 @@ def distinct_entities(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def attach_stats(nodes: DataFrame, stats: DataFrame, keys: Sequence[str], default: float | None = 0.0, **tuning) -> DataFrame:
-    """Add an entity's statistics to its rows; an unseen entity gets ``default`` (None keeps null)."""
+    """Add an entity's statistics to its rows; an unseen entity gets ``default`` (None keeps null).
+
+    Keys are named as in the profile, so a missing one finds the profile of the missing one.
+    """
     new = [c for c in stats.columns if c not in keys]
-    joined = lookup(nodes, stats, keys, "left", **tuning)
+    joined = lookup(named_entities(nodes, keys), stats, keys, "left", null_safe=True, **tuning)
     return joined if default is None else joined.na.fill(default, subset=new)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fraudlens.functions.scalars import zero_default
+from fraudlens.functions.scalars import UNKNOWN, zero_default
 from fraudlens.functions.vectors import first_dims, or_zeros, padded, spread, squared_error, zeros
 from fraudlens.operators.entity import CARD_STATS, PAIR_STATS
 from fraudlens.operators.joins import filter_unseen, lookup
@@ -106,7 +106,7 @@ def build_edges_hetero(
     named = tx.select(row_id, *dict.fromkeys([amount, time, *used]))
     for name, vocab in vocabs.items():
         part = vocab.select(*keys[name], (F.col("idx") + offsets[name]).alias(f"_{name}"))
-        named = lookup(named, part, list(keys[name]), "left", **tuning)
+        named = lookup(named, part, list(keys[name]), "left", null_safe=True, **tuning)
     t = F.col(row_id) + offsets["txn"]
     feat = F.array(zero_default(F.col(amount)), zero_default(F.col(time)))
     ends = F.array(
@@ -146,7 +146,12 @@ def entity_nodes(
     for name, vocab in vocabs.items():
         start, names = slots[name]
         # vocabulary and profile have the same keys: one co-partitioned join, no lookup table to broadcast
-        joined = vocab.join(stats[name], list(keys[name]), "left").na.fill(0)
+        profile = stats[name].withColumnsRenamed({k: f"_{k}" for k in keys[name]})
+        same = F.lit(True)
+        for k in keys[name]:
+            text = vocab.schema[k].dataType.typeName() == "string"
+            same = same & (F.coalesce(k, F.lit(UNKNOWN)) if text else F.col(k)).eqNullSafe(F.col(f"_{k}"))
+        joined = vocab.join(profile, same, "left").na.fill(0, subset=list(names))
         out.append(
             joined.select(
                 (F.col("idx") + offsets[name]).alias("node_id"),

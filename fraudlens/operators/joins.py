@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from fraudlens.functions.vectors import or_zeros
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_PARTS = 256  # a key is hot when it holds at least 1/256 of the rows, so there are at most 256 hot keys
 
 
 def merge_identity(
@@ -51,23 +50,36 @@ def anti(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame
 
 
 def _value_bytes(col: Column, kind: T.DataType) -> Column:
+    """Bytes of a value; what is nested is measured down to its leaves."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.octet_length(col) + 16
-    if isinstance(kind, T.ArrayType):
-        return F.size(col) * 8 + 16
-    return F.lit(8)
+        size = F.octet_length(col) + 16
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(col, F.lit(16), lambda total, x: total + _value_bytes(x, kind.elementType))
+    elif isinstance(kind, T.MapType):
+        entries = T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]))
+        size = _value_bytes(F.map_entries(col), entries)
+    elif isinstance(kind, T.StructType):
+        size = F.lit(16)
+        for field in kind.fields:
+            size = size + _value_bytes(col[field.name], field.dataType)
+    elif isinstance(kind, T.UserDefinedType):
+        size = F.octet_length(F.to_json(F.struct(col)))  # a number's text is no shorter than half its bytes
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("int"), F.lit(8))
 
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows as they would be broadcast, measured by one aggregation over the table."""
     row = F.lit(8)
     for field in df.schema.fields:
-        row = row + F.coalesce(_value_bytes(F.col(field.name), field.dataType), F.lit(8))
+        row = row + _value_bytes(F.col(f"`{field.name}`"), field.dataType).cast("long")
     return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS) -> DataFrame:
-    """Keys that hold at least 1/parts of the rows with a key: never more than ``parts`` of them."""
+def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
+    """Keys that hold at least 1/parts of the rows with a key, the share of a mean partition: never more
+    than ``parts`` of them."""
     known = df.select(*keys).na.drop()
     counts = known.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
@@ -81,19 +93,24 @@ def lookup(
     keys: str | Sequence[str],
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
-    parts: int = HOT_PARTS,
+    parts: int | None = None,
     salts: int | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join ``dim`` (unique keys, already written or cheap to read) onto ``facts``.
 
     The dimension is broadcast when its measured size allows. Beyond that both sides are shuffled, with
     the rows of hot and null keys spread over ``salts`` parts (as many as shuffle partitions, unless
-    given) and the few hot dimension rows repeated.
+    given) and the few hot dimension rows repeated. With ``null_safe`` a missing key finds the
+    dimension's row of the missing key.
     The salt is a hash of the row, so a retried task places its rows as before.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if null_safe:
+        return _null_safe_lookup(facts, dim, keys, how, broadcast_bytes, parts, salts)
     if measured_bytes(dim) <= broadcast_bytes:
         return facts.join(F.broadcast(dim), keys, how)
+    parts = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(facts, keys, parts).withColumn("_hot", F.lit(True))  # at most ``parts`` rows
     salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_null = F.lit(False)
@@ -113,6 +130,19 @@ def lookup(
     return left.join(right.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
+def _null_safe_lookup(facts, dim, keys, how, broadcast_bytes, parts, salts) -> DataFrame:
+    """Lookup over keys that are never null: each key beside a flag that tells whether it is missing."""
+    flags, known = [], []
+    for i, key in enumerate(keys):
+        flags.append(F.col(key).isNull().alias(f"_n{i}"))
+        zero = F.lit("" if facts.schema[key].dataType.typeName() == "string" else 0).cast(facts.schema[key].dataType)
+        known.append(F.coalesce(F.col(key), zero).alias(f"_k{i}"))
+    names = [f"_{kind}{i}" for i in range(len(keys)) for kind in "nk"]
+    left = facts.select("*", *flags, *known)
+    right = dim.select(*flags, *known, *[c for c in dim.columns if c not in keys])
+    return lookup(left, right, names, how, broadcast_bytes, parts, salts).drop(*names)
+
+
 def filter_unseen(
     df: DataFrame, vocabs: dict[str, DataFrame], **tuning
 ) -> tuple[DataFrame, DataFrame]:

@@ -40,14 +40,16 @@ class TreeParams:
     seed: int = 42
 
 
-def assemble(df: DataFrame, spec: FeatureSpec, output: str = "features", flag_missing: bool = False, max_nominal: int = 32) -> tuple[DataFrame, list[str]]:
-    """Feature vector and the names of its slots.
+def assemble(
+    df: DataFrame, spec: FeatureSpec, output: str = "features", flag_missing: bool = False, max_nominal: int = 32, fit_on: DataFrame | None = None
+) -> tuple[DataFrame, list[str]]:
+    """Feature vector and the names of its slots; codes are fitted on ``fit_on`` (training rows), else on ``df``.
 
     Categorical columns are label-encoded; those with few classes are marked nominal for the trees.
     Trees here have no branch for missing values: numbers missing become 0, and ``flag_missing`` adds a
     0/1 column per numerical feature that tells.
     """
-    encoder = LabelEncoder(spec.categorical).fit(df)
+    encoder = LabelEncoder(spec.categorical, reserve_unseen=fit_on is not None).fit(df if fit_on is None else fit_on)
     out = encoder.transform(df, suffix="_code")
     inputs, made = [], []
     for c in encoder.cols:
@@ -171,15 +173,20 @@ def best_rounds(model: GBTClassificationModel, valid: DataFrame, patience: int =
     return stop_summary(early_stop(history, "rounds", "average_precision", patience), "rounds")
 
 
-def train_head(df: DataFrame, vec: str = "feat", label: str = "label", weight: str | None = None):
-    """Linear logit on node vectors; weights make it the positive-weighted loss."""
+def train_head(df: DataFrame, vec: str = "feat", label: str = "label", weight: str | None = None, max_iter: int = 200):
+    """Linear logit on node vectors; weights make it the positive-weighted loss. ``head_converged`` tells
+    whether the fit ended before ``max_iter``."""
     rows = df.withColumn("features", array_to_vector(vec)).withColumn("_label", F.col(label).cast("double"))
-    learner = LogisticRegression(labelCol="_label", featuresCol="features", maxIter=20)
+    learner = LogisticRegression(labelCol="_label", featuresCol="features", maxIter=max_iter)
     if weight:
         learner = learner.setWeightCol(weight)
     return learner.fit(rows)
 
 
+def head_converged(head) -> bool:
+    return head.summary.totalIterations < head.getMaxIter()
+
+
 def save_model(model, path: str, params: TreeParams, metrics: DataFrame) -> None:
     """Model with its parameters and metrics beside it."""
     spark = metrics.sparkSession

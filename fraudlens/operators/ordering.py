@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fraudlens.session import settle
 
 BLOCK, POS = "_block", "_pos"
-FEW_TIES = 100_000  # a tie group or hash bucket up to this size is cut by a plain top-n
 _POS_BITS = 33  # monotonically_increasing_id keeps the row's place within its partition in 33 bits
 
 
@@ -143,9 +142,10 @@ def previous_in_group(
 
 
 def _histogram(df: DataFrame, lead: str) -> tuple[DataFrame, int]:
-    """Rows up to and including each value of ``lead``, and their number; map-side combine does most of it."""
+    """Rows up to and including each value of ``lead``, missing ones last, and their number; map-side combine
+    does most of it."""
     counts = df.groupBy(lead).agg(F.count("*").alias("_n"))
-    cum, totals = running(counts, [lead], {"_upto": ("sum", "_n")})
+    cum, totals = running(counts, [F.col(lead).asc_nulls_last()], {"_upto": ("sum", "_n")})
     return cum, totals["_upto"]
 
 
@@ -158,8 +158,6 @@ def _row_at(narrow: DataFrame, cum: DataFrame, order: Sequence[str], k: int):
         return hit
     inside = k - (hit["_upto"] - hit["_n"])
     tied = narrow.filter(F.col(lead).eqNullSafe(F.lit(hit[lead])))
-    if hit["_n"] <= FEW_TIES:
-        return tied.orderBy(*rest).offset(inside).limit(1).first()
     return global_row_id(tied, rest, "_at").filter(F.col("_at") == inside).drop("_at").first()
 
 
@@ -180,8 +178,9 @@ def _label_by_cuts(df: DataFrame, fracs: Sequence[float], time: str, key: str, n
             label = F.lit(before)
             continue
         cut = _row_at(narrow, cum, [time, key], k)
-        at, tie = F.lit(cut[time]), F.lit(cut[key])
-        earlier = (F.col(time) < at) | ((F.col(time) == at) & (F.col(key) < tie))
+        same = F.col(time).eqNullSafe(F.lit(cut[time])) & (F.col(key) < F.lit(cut[key]))
+        before_cut = F.col(time).isNotNull() if cut[time] is None else F.coalesce(F.col(time) < F.lit(cut[time]), F.lit(False))
+        earlier = before_cut | same
         label = F.when(earlier, F.lit(before)).otherwise(label)
     return df.withColumn(name, label)
 
@@ -189,7 +188,7 @@ def _label_by_cuts(df: DataFrame, fracs: Sequence[float], time: str, key: str, n
 def time_split(
     df: DataFrame, frac: float, time: str, key: str, name: str = "split", labels: tuple[str, str] = ("train", "test")
 ) -> DataFrame:
-    """First ``int(n*frac)`` rows in (time, key) order are train, the others test.
+    """First ``int(n*frac)`` rows in (time, key) order, missing times last, are train, the others test.
 
     Only the cut point is searched for; the wide rows are labelled by a comparison with two literals,
     without a shuffle.
@@ -233,10 +232,7 @@ def stratified_split(
         hit = cum.filter((F.col("_upto") > target) & (F.col("_upto") - F.col("_n") <= target)).first()
         bucket = narrow.filter(F.col("_c").eqNullSafe(F.lit(value)) & (F.col("_p") == hit["_p"]))
         inside = target - (hit["_upto"] - hit["_n"])
-        if hit["_n"] <= FEW_TIES:
-            cut = bucket.orderBy("_h", "_k").offset(inside).limit(1).first()
-        else:
-            cut = global_row_id(bucket, ["_h", "_k"], "_at").filter(F.col("_at") == inside).first()
+        cut = global_row_id(bucket, ["_h", "_k"], "_at").filter(F.col("_at") == inside).first()
         upto = (digest < F.lit(cut["_h"])) | ((digest == F.lit(cut["_h"])) & (F.col(key) <= F.lit(cut["_k"])))
         is_test = is_test | (F.col(label).eqNullSafe(F.lit(value)) & upto)
     return df.withColumn(name, F.when(is_test, F.lit(labels[1])).otherwise(F.lit(labels[0])))

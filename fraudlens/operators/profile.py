@@ -11,8 +11,8 @@ from fraudlens.functions.scalars import nan_to_null, ratio
 from fraudlens.operators.ordering import running
 from fraudlens.schema import family_counts
 
-SMALL_CELLS = 5_000_000  # up to this many values Spark's own median may hold them in its buffers
-SAMPLE_ROWS = 1_000  # the least number of rows a bracket around the median is taken from
+SAMPLE_CELLS = 5_000_000  # values of all columns together that the brackets around medians are taken from
+SAMPLE_ROWS = 1_000  # the least number of rows of that sample
 
 
 def profile_counts(stages: dict[str, DataFrame]) -> DataFrame:
@@ -63,12 +63,12 @@ def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     return names.join(counts, "column", "left").select("column", F.coalesce("n", F.lit(0)).alias("n_distinct"))
 
 
-def column_medians(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_CELLS) -> dict[str, float | None]:
+def column_medians(df: DataFrame, cols: Sequence[str], sample_cells: int = SAMPLE_CELLS) -> dict[str, float | None]:
     """Exact median of each numeric column, missing values left out.
 
-    Small tables use the built-in median, whose buffers hold every value. Beyond that, quantiles of a
-    sample of bounded size give a bracket per column, one scan counts what lies below it, and only the
-    values inside are ordered, all columns together, over all rows. A bracket that misses the median
+    Quantiles of a sample of bounded size give a bracket per column, as wide as the column's own number of
+    sampled values asks for; one scan counts what lies below it, and only the values inside are ordered,
+    all columns together, over all rows. A bracket that misses the median
     (checked by the counts) is widened to the column's whole range, so the sample decides cost, not result.
     """
     cols = list(cols)
@@ -77,10 +77,8 @@ def column_medians(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_
     num = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
     counted = df.agg(F.count("*").alias("_rows"), *[F.count(num[c]).alias(c) for c in cols]).first().asDict()
     n_rows, sizes = counted.pop("_rows"), counted
-    if sum(sizes.values()) <= small_cells:
-        return df.agg(*[F.median(num[c]).alias(c) for c in cols]).first().asDict()
-
-    bounds = _sampled_brackets(df, num, n_rows, max(SAMPLE_ROWS, small_cells // len(cols)))
+    share = min(1.0, max(SAMPLE_ROWS, sample_cells // len(cols)) / max(1, n_rows))
+    bounds = _sampled_brackets(df, num, sizes, share)
     below, upto = _rank_counts(df, num, bounds)
     wide = [
         c for c in cols
@@ -91,6 +89,9 @@ def column_medians(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_
         bounds |= {c: tuple(edge[c]) for c in wide}
         below |= {c: 0 for c in wide}
 
+    bounds = {c: b for c, b in bounds.items() if sizes[c]}
+    if not bounds:
+        return dict.fromkeys(cols)
     cells = F.explode(
         F.array(
             *[
@@ -120,11 +121,11 @@ def column_medians(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_
     return {c: (min(v) + max(v)) / 2 if v else None for c, v in hits.items()}
 
 
-def _sampled_brackets(df, num, n_rows: int, wanted: int) -> dict[str, tuple[float, float]]:
+def _sampled_brackets(df, num, sizes: dict[str, int], share: float) -> dict[str, tuple[float, float]]:
     """Per column the values five standard errors of rank around the sample median; none if the sample has no value."""
-    sample = df.sample(min(1.0, wanted / max(1, n_rows)), seed=42)
-    half = min(0.5, 2.5 / wanted**0.5)
-    ends = sample.agg(*[F.percentile(x, F.array(F.lit(0.5 - half), F.lit(0.5 + half))).alias(c) for c, x in num.items()])
+    sample = df.sample(share, seed=42) if share < 1 else df
+    half = {c: min(0.5, 2.5 / max(1.0, sizes[c] * share) ** 0.5) for c in num}
+    ends = sample.agg(*[F.percentile(x, F.array(F.lit(0.5 - half[c]), F.lit(0.5 + half[c]))).alias(c) for c, x in num.items()])
     return {c: tuple(v) for c, v in ends.first().asDict().items() if v is not None}
 
 
@@ -139,9 +140,9 @@ def _rank_counts(df, num, bounds):
     return {c: counts[f"b_{c}"] for c in bounds}, {c: counts[f"u_{c}"] for c in bounds}
 
 
-def median_profile(df: DataFrame, cols: Sequence[str], small_cells: int = SMALL_CELLS) -> DataFrame:
+def median_profile(df: DataFrame, cols: Sequence[str], sample_cells: int = SAMPLE_CELLS) -> DataFrame:
     """(column, median), one row per column."""
-    found = column_medians(df, cols, small_cells)
+    found = column_medians(df, cols, sample_cells)
     return df.sparkSession.createDataFrame([(c, found[c]) for c in cols], "column string, median double")
 
 

@@ -33,7 +33,7 @@ def tabular_run(
 ) -> Run:
     """Stratified split, assembly, class weights, boosted trees, scored validation rows."""
     split = settle(stratified_split(df, spec.label, spec.key, test_frac, params.seed), "split")
-    rows, slots = assemble(split, spec, flag_missing=True)
+    rows, slots = assemble(split, spec, flag_missing=True, fit_on=split.filter("split = 'train'"))
     ready = settle(rows.select(spec.key, spec.label, "split", "features"), "features")
     train = regime_weights(ready.filter("split = 'train'"), spec.label, regime)
     model = train_gbt(train, params, spec.label, weight="weight")

@@ -51,7 +51,7 @@ VIEWS = {
                  upper(p_name) || '/' || p_type AS DeviceInfo, l_discount AS id_01,
                  row_number() OVER (PARTITION BY l_orderkey
                    ORDER BY l_extendedprice, l_partkey, l_suppkey, l_quantity, l_tax) AS rn
-          FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 1) WHERE rn = 1""",
+          FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag <> 'R') WHERE rn = 1""",
     "merged": "SELECT txn.*, DeviceType, DeviceInfo, id_01 FROM txn LEFT JOIN idn USING (TransactionID)",
     # placeholders nulled, the e-mail entity named, the time split and the train/test row numbers
     "clean": """

@@ -81,9 +81,9 @@ def l05(spark, d):
 
 
 @query("l06_recent_failures", """
-    SELECT event_id, message FROM (SELECT * FROM log ORDER BY ts DESC, event_id DESC LIMIT 10) WHERE contains(message, 'AlgorithmError')""")
+    SELECT event_id, message FROM (SELECT * FROM log WHERE status = 'error' ORDER BY ts DESC, event_id DESC LIMIT 10) WHERE contains(message, 'AlgorithmError')""")
 def l06(spark, d):
-    return l.recent_failures(b.log(spark, d), ["ts", "event_id"], "message").select("event_id", "message")
+    return l.recent_failures(b.log(spark, d).filter("status = 'error'"), ["ts", "event_id"], "message").select("event_id", "message")
 
 
 @query("l07_list_events", """

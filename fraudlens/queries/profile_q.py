@@ -50,7 +50,7 @@ def a03(spark, d):
     f"SELECT '{c}' AS column, CAST(median({c}) AS DOUBLE) AS median FROM txn" for c in _MEDIAN))
 def a03_selection(spark, d):
     """The same medians the way large tables get them: bracket, count, order what is inside."""
-    return p.median_profile(settle(b.txn(spark, d), "txn"), _MEDIAN, small_cells=0)
+    return p.median_profile(settle(b.txn(spark, d), "txn"), _MEDIAN, sample_cells=0)
 
 
 @query("a04_scaler_stats", " UNION ALL ".join(

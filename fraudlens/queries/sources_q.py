@@ -131,11 +131,17 @@ def s08(spark, d):
     )
 
 
-@query("s09_catalog")
+@query("s09_catalog", "SELECT true AS has_files, true AS sizes_add_up, true AS listed_rows_present FROM (SELECT 1)")
 def s09(spark, d):
     base = workspace(spark, "catalog")
     write_named_splits(split_txn(spark, d), base, "xgb")
-    return m.catalog_totals(m.catalog(spark, base, exclude="_SUCCESS"))
+    files = settle(m.catalog(spark, base, exclude="_SUCCESS"), "files")
+    totals = m.catalog_totals(files).first()
+    return files.agg(
+        (F.count("*") == totals["total_files"]).alias("has_files"),
+        ((F.sum("size_mb") == totals["total_size_mb"]) & (F.min("size_bytes") > 0)).alias("sizes_add_up"),
+        (F.count_if(F.col("path").contains("/part-")) == F.count("*")).alias("listed_rows_present"),
+    )
 
 
 @query("s10_missing_outputs", """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fraudlens.functions.scalars import megabytes, relative_path
 from fraudlens.sources.tables import read_optional
 
+_FILE_SYSTEM = r"(?:[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?)?"  # scheme and authority of a path
+
 # Outputs a complete preprocessing run leaves behind.
 REQUIRED_OUTPUTS = (
     "gnn/train_gnn/edges/node_to_node.csv",
@@ -49,9 +52,13 @@ def catalog_totals(files: DataFrame) -> DataFrame:
 
 
 def existing_outputs(files: DataFrame, base: str) -> DataFrame:
-    """Names of written outputs relative to ``base``; a directory of part files counts once."""
-    below = F.regexp_replace(F.regexp_replace("path", r"^file:/+", "/"), r"/(part-[^/]*|_SUCCESS)$", "")
-    plain = base.replace("file:", "").rstrip("/")
+    """Names of written outputs relative to ``base``; a directory of part files counts once.
+
+    Listed paths carry their file system's scheme and authority, which ``base`` may leave out, so both
+    are compared without.
+    """
+    below = F.regexp_replace(F.regexp_replace("path", f"^{_FILE_SYSTEM}/+", "/"), r"/(part-[^/]*|_SUCCESS)$", "")
+    plain = re.sub(f"^{_FILE_SYSTEM}/+", "/", base).rstrip("/")
     return files.filter(~F.col("path").endswith("_SUCCESS")).select(relative_path(below, plain).alias("path")).distinct()
 
 

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from fraudlens.functions.scalars import number
+
 # Texts that a CSV reader takes for a missing value.
 NA_VALUES = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
@@ -39,7 +41,7 @@ def read_table(
     cleaned = raw.select(*[F.when(~F.col(c).isin(*na_values), F.col(c)).alias(c) for c in raw.columns])
     types = {f.name: f.dataType.simpleString() for f in schema.fields} if schema is not None else _infer(cleaned)
     return cleaned.select(
-        *[F.col(c) if types[c] == "string" else F.col(c).try_cast(types[c]).alias(c) for c in cleaned.columns]
+        *[F.col(c) if types[c] == "string" else number(F.col(c), types[c]).alias(c) for c in cleaned.columns]
     )
 
 
@@ -51,8 +53,8 @@ def _infer(texts: DataFrame) -> dict[str, str]:
         probes += [
             F.count("*").alias(f"all_{c}"),
             F.count(col).alias(f"has_{c}"),
-            F.count(col.try_cast("bigint")).alias(f"int_{c}"),
-            F.count(col.try_cast("double")).alias(f"num_{c}"),
+            F.count(number(col, "bigint")).alias(f"int_{c}"),
+            F.count(number(col, "double")).alias(f"num_{c}"),
             F.count_if(F.lower(col).isin("true", "false")).alias(f"bool_{c}"),
         ]
     seen = texts.agg(*probes).first().asDict()

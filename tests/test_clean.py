@@ -19,10 +19,10 @@ def test_placeholders_are_exact(spark):
 
 
 @pytest.mark.parametrize("values,median", [([1.0, 2.0, None, 10.0], 2.0), ([1.0, 2.0, 3.0, 10.0], 2.5), ([None, None], None)])
-@pytest.mark.parametrize("small", [0, 10**6])
-def test_median(spark, values, median, small):
+@pytest.mark.parametrize("cells", [0, 10**6])
+def test_median(spark, values, median, cells):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    assert column_medians(df, ["x"], small_cells=small) == {"x": median}
+    assert column_medians(df, ["x"], sample_cells=cells) == {"x": median}
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 100, 3001])
@@ -33,9 +33,23 @@ def test_median_by_selection_equals_builtin(spark, n):
         F.when(F.col("id") % 5 != 0, (F.hash(F.col("id") + 1) % 50).cast("double")).alias("b"),
         F.lit(float("nan")).alias("c"),
     )
-    small = column_medians(df, ["a", "b", "c"])
-    assert column_medians(df, ["a", "b", "c"], small_cells=0) == small
-    assert small["c"] is None
+    built_in = df.agg(*[F.median(F.when(~F.isnan(c), F.col(c))).alias(c) for c in "abc"]).first().asDict()
+    assert column_medians(df, ["a", "b", "c"]) == built_in
+    assert column_medians(df, ["a", "b", "c"], sample_cells=0) == built_in
+    assert built_in["c"] is None
+
+
+def test_median_of_sparse_columns_is_bracketed(spark):
+    """A column with few values gets a bracket of its own width, so few of its values are ordered."""
+    from fraudlens.operators import profile
+
+    df = spark.range(40_000).select(*[F.when(F.hash("id", F.lit(k)) % 50 == 0, F.rand(k)).alias(f"c{k}") for k in range(6)]).cache()
+    num = {c: F.col(c) for c in df.columns}
+    sizes = df.agg(*[F.count(c).alias(c) for c in df.columns]).first().asDict()
+    bounds = profile._sampled_brackets(df, num, sizes, 0.5)
+    below, upto = profile._rank_counts(df, num, bounds)
+    missed = [c for c in df.columns if not below[c] <= (sizes[c] - 1) // 2 <= sizes[c] // 2 < upto[c]]
+    assert len(missed) <= 1 and all(upto[c] - below[c] < sizes[c] * 0.7 for c in df.columns)
 
 
 def test_imputer_fits_train_only(spark):

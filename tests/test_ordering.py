@@ -33,9 +33,7 @@ def test_time_split_truncates(spark, n, train):
     assert all((r.t, r.id) > cut for r in out if r.split == "test")
 
 
-@pytest.mark.parametrize("few", [0, 100_000])
-def test_kth_row(spark, monkeypatch, few):
-    monkeypatch.setattr(o, "FEW_TIES", few)
+def test_kth_row(spark):
     df = events(spark, 300)
     want = sorted((r.t, r.id) for r in df.collect())
     for k in (0, 99, 150, 299):
@@ -50,9 +48,18 @@ def test_stratified_split_sizes(spark):
     assert [sum(r.split == "test" and r.y == y for r in out) for y in (0, 1)] == [2, 1]
 
 
-@pytest.mark.parametrize("frac,few", [(0.0, 9), (0.2, 100_000), (0.5, 0), (1.0, 100_000)])
-def test_stratified_split_is_exact_and_repeatable(spark, monkeypatch, frac, few):
-    monkeypatch.setattr(o, "FEW_TIES", few)
+def test_time_split_with_missing_times(spark):
+    """Missing times come last, whether the cut lies before, among or behind them."""
+    rows = [(i, None if i in (1, 4, 8) else (i * 7) % 10) for i in range(10)]
+    df = spark.createDataFrame(rows, "id int, t int")
+    want = [i for i, t in sorted(rows, key=lambda r: (r[1] is None, r[1] if r[1] is not None else 0, r[0]))]
+    for frac in (0.0, 0.3, 0.7, 0.8, 0.9, 1.0):
+        out = o.time_split(df, frac, "t", "id").filter("split = 'train'").collect()
+        assert {r.id for r in out} == set(want[: int(10 * frac)])
+
+
+@pytest.mark.parametrize("frac", [0.0, 0.2, 0.5, 1.0])
+def test_stratified_split_is_exact_and_repeatable(spark, frac):
     df = spark.range(2000).select("id", (F.col("id") % 13 == 0).cast("int").alias("y"))
     a = {r.id: r.split for r in o.stratified_split(df, "y", "id", frac).collect()}
     b = {r.id: r.split for r in o.stratified_split(df.repartition(7), "y", "id", frac).collect()}
