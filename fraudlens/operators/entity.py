@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.operators.joins import lookup
+from fraudlens.operators.ordering import running
 
 # Statistics of each entity kind, in the order they fill the node vector.
 CARD_STATS = ("amt_mean", "amt_count", "fraud_rate", "fraud_count")
@@ -57,3 +58,33 @@ def attach_stats(nodes: DataFrame, stats: DataFrame, keys: Sequence[str], defaul
     new = [c for c in stats.columns if c not in keys]
     joined = lookup(named_entities(nodes, keys), stats, keys, "left", null_safe=True, **tuning)
     return joined if default is None else joined.na.fill(default, subset=new)
+
+
+def leave_one_out(train: DataFrame, keys: Sequence[str], label: str = "isFraud", name: str = "fraud_rate", default: float = 0.0, **tuning) -> DataFrame:
+    """Rows with the fraud rate of their entity over its other rows; ``default`` where there are none.
+
+    A training row's own label is not part of its feature. One aggregation and one lookup.
+    """
+    named = named_entities(train, keys)
+    totals = named.groupBy(*keys).agg(F.sum(F.col(label).cast("long")).alias("_s"), F.count(label).alias("_n"))
+    own = F.coalesce(F.col(label).cast("long"), F.lit(0))
+    others = F.col("_n") - F.col(label).isNotNull().cast("long")
+    joined = lookup(named, totals, keys, "left", null_safe=True, **tuning)
+    return joined.select(*train.columns, F.coalesce(F.try_divide(F.col("_s") - own, others), F.lit(default)).alias(name))
+
+
+def time_causal(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], label: str = "isFraud", name: str = "fraud_rate", default: float = 0.0, **tuning
+) -> DataFrame:
+    """Rows with the fraud rate of their entity over its earlier rows; ``default`` for its first.
+
+    ``order`` ends in a unique column. One range sort by entity and time gives running sums over the whole
+    table, and an entity's sums are those since its first row: a busy entity is cut over many tasks.
+    """
+    named = named_entities(rows, keys).withColumn("_y", F.coalesce(F.col(label).cast("long"), F.lit(0).cast("long")))
+    named = named.withColumn("_one", F.col(label).isNotNull().cast("long"))
+    ahead, _ = running(named, [*keys, *order], {"_s": ("sum", "_y"), "_n": ("sum", "_one")}, inclusive=False)
+    starts = ahead.groupBy(*keys).agg(F.min("_s").alias("_s0"), F.min("_n").alias("_n0"))
+    joined = lookup(ahead, starts, keys, "left", null_safe=True, **tuning)
+    rate = F.try_divide(F.col("_s") - F.col("_s0"), F.col("_n") - F.col("_n0"))
+    return joined.select(*rows.columns, F.coalesce(rate, F.lit(default)).alias(name))

@@ -134,10 +134,10 @@ def _null_safe_lookup(facts, dim, keys, how, broadcast_bytes, parts, salts) -> D
     """Lookup over keys that are never null: each key beside a flag that tells whether it is missing."""
     flags, known = [], []
     for i, key in enumerate(keys):
-        flags.append(F.col(key).isNull().alias(f"_n{i}"))
+        flags.append(F.col(key).isNull().alias(f"__null{i}"))
         zero = F.lit("" if facts.schema[key].dataType.typeName() == "string" else 0).cast(facts.schema[key].dataType)
-        known.append(F.coalesce(F.col(key), zero).alias(f"_k{i}"))
-    names = [f"_{kind}{i}" for i in range(len(keys)) for kind in "nk"]
+        known.append(F.coalesce(F.col(key), zero).alias(f"__key{i}"))
+    names = [f"__{kind}{i}" for i in range(len(keys)) for kind in ("null", "key")]
     left = facts.select("*", *flags, *known)
     right = dim.select(*flags, *known, *[c for c in dim.columns if c not in keys])
     return lookup(left, right, names, how, broadcast_bytes, parts, salts).drop(*names)

@@ -24,7 +24,12 @@ def test_rows_with_card_risk(
     label: str = "isFraud",
 ) -> DataFrame:
     """Test transactions with amount statistics and fraud rate of their card in training (0 when unseen)."""
-    merged = settle(null_placeholders(merge_identity(tx, idn, key)), "merged")
+    needed = list(dict.fromkeys([key, time, amount, label, *keys]))
+    if set(needed) <= set(tx.columns):  # an identity adds columns, never rows, so it is joined only if a key is among its columns
+        merged = tx.select(*needed)
+    else:
+        merged = merge_identity(tx, idn, key).select(*needed)
+    merged = settle(null_placeholders(merged), "merged")
     split = time_split(merged, frac, time, key)
     filled = MedianImputer([amount]).fit(split).transform(split)
     stats = settle(entity_stats(filled.filter("split = 'train'"), keys, amount, label), "stats")

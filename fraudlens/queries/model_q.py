@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fraudlens import bindings as b
 from fraudlens.operators import model as mo
+from fraudlens.operators.entity import leave_one_out, time_causal
 from fraudlens.operators.joins import merge_identity
 from fraudlens.operators.metrics import average_precision, evaluate, roc_auc
 from fraudlens.operators.ordering import stratified_split
@@ -21,6 +22,7 @@ from fraudlens.schema import FeatureSpec
 from fraudlens.session import settle
 
 SPEC = FeatureSpec(("ProductCD", "card4", "DeviceType"), ("TransactionAmt", "C1", "D1", "card1"))
+CARD = ["card1", "card2", "card4"]
 PARAMS = mo.TreeParams(rounds=8, learning_rate=0.3, max_depth=3)  # reduced
 PUBLISHED = mo.TreeParams(rounds=100, learning_rate=0.1, max_depth=6)
 
@@ -184,3 +186,22 @@ def m07_hybrid(spark, d):
     train = mo.regime_weights(ready.filter("split = 'train'"), "isFraud", "both")
     model = mo.train_gbt(train, PARAMS, "isFraud", weight="weight")
     return checked(mo.score(model, ready.filter("split = 'test'")), "isFraud")
+
+
+@query("x02_leave_one_out", """
+    SELECT TransactionID, CASE WHEN n > 1 THEN (s - isFraud) / CAST(n - 1 AS DOUBLE) ELSE 0.0 END AS fraud_rate FROM (
+      SELECT TransactionID, isFraud, count(*) OVER w AS n, sum(isFraud) OVER w AS s FROM split WHERE split = 'train' WINDOW w AS (PARTITION BY card1, card2, card4))""")
+def x02(spark, d):
+    """Card risk of training rows without their own label."""
+    train = split_txn(spark, d, "isFraud", *CARD).filter("split = 'train'")
+    return leave_one_out(train, CARD).select("TransactionID", "fraud_rate")
+
+
+@query("x03_time_causal", """
+    SELECT TransactionID, CASE WHEN n > 0 THEN s / CAST(n AS DOUBLE) ELSE 0.0 END AS fraud_rate FROM (
+      SELECT TransactionID, count(*) OVER w AS n, sum(isFraud) OVER w AS s FROM clean
+      WINDOW w AS (PARTITION BY card1, card2, card4 ORDER BY TransactionDT, TransactionID ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""")
+def x03(spark, d):
+    """Card risk of all rows as it was known before each of them."""
+    rows = clean_txn(spark, d).select(*ORDER, "isFraud", *CARD)
+    return time_causal(rows, CARD, ORDER).select("TransactionID", "fraud_rate")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fraudlens.operators.clean import cast_roles
 from fraudlens.operators.encode import LabelEncoder, Scaler
-from fraudlens.operators.entity import PAIR_STATS, CARD_STATS, attach_stats, entity_stats
+from fraudlens.operators.entity import CARD_STATS, attach_stats, entity_stats, leave_one_out, time_causal
 from fraudlens.operators.graph import build_edges_hetero, entity_nodes
 from fraudlens.operators.joins import lookup, measured_bytes
 from fraudlens.operators.ordering import first_seen_vocab
@@ -51,7 +51,6 @@ def test_graph_of_cards_with_missing_parts(spark, tx):
     stats = {"card": entity_stats(train, KEYS, stats=CARD_STATS)}
     nodes = entity_nodes(vocabs, stats, keys)[0].collect()
     assert len(nodes) == vocabs["card"].count() and all(any(r["feat"]) for r in nodes)
-    assert PAIR_STATS
 
 
 def test_null_safe_lookup(spark):
@@ -115,3 +114,16 @@ def test_stream_joins_without_broadcast(spark, tmp_path, threshold):
         assert {r["id"]: r["fraud_rate"] for r in out.collect()} == {1: 0.5, 2: 0.25, 3: 0.0}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_profiles_without_own_label(spark, limit):
+    rows = [(i, i // 2, [None, 1, 1, 2, 1][i % 5], ["a", None][i % 2], (i * 7) % 3 % 2) for i in range(40)] + [(99, 99, 8, "z", 1)]
+    df = spark.createDataFrame(rows, "id int, t int, k int, s string, isFraud int").repartition(5)
+    loo = {r["id"]: r["fraud_rate"] for r in leave_one_out(df, ["k", "s"], broadcast_bytes=limit).collect()}
+    causal = {r["id"]: r["fraud_rate"] for r in time_causal(df, ["k", "s"], ["t", "id"], broadcast_bytes=limit).collect()}
+    for i, t, k, s, _ in rows:
+        mates = [r for r in rows if (r[2], r[3]) == (k, s) and r[0] != i]
+        before = [r for r in mates if (r[1], r[0]) < (t, i)]
+        assert loo[i] == pytest.approx(sum(r[4] for r in mates) / len(mates) if mates else 0)
+        assert causal[i] == pytest.approx(sum(r[4] for r in before) / len(before) if before else 0)
