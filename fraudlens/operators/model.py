@@ -6,6 +6,8 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -142,21 +144,21 @@ def leaf_values(model: GBTClassificationModel, spark: SparkSession) -> list[list
 def staged_scores(model: GBTClassificationModel, df: DataFrame, name: str = "score") -> DataFrame:
     """One row per input row and number of rounds, with the probability after that many trees.
 
-    A single pass of the model yields all leaf indices; prefix sums over a row's trees do the rest.
+    A single pass of the model yields all leaf indices; their values are summed up along a row's trees in
+    Arrow batches.
     """
     values = leaf_values(model, df.sparkSession)
-    table = F.from_json(F.lit(json.dumps(values)), "array<array<double>>")
-    leaves = vector_to_array(F.col("leaf"))
-    margin = F.transform(leaves, lambda x, i: F.get(F.get(table, i), x.cast("int")))
-    staged = F.slice(
-        F.aggregate(
-            margin,
-            F.array(F.lit(0.0)),
-            lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
-        ),
-        2,
-        max(1, len(values)),
-    )
+    table = np.zeros((len(values), max(map(len, values), default=1)))
+    for tree, leaves in enumerate(values):
+        table[tree, :len(leaves)] = leaves
+
+    def margins(leaves: pd.Series) -> pd.Series:
+        if leaves.empty:
+            return pd.Series([], dtype=object)
+        at = np.stack(leaves.to_numpy()).astype(np.int64)
+        return pd.Series(list(np.cumsum(table[np.arange(len(table)), at], axis=1)))
+
+    staged = F.pandas_udf(margins, "array<double>")(vector_to_array(F.col("leaf")))
     out = model.transform(df).select(*df.columns, F.posexplode(staged).alias("_k", "_margin"))
     return out.select(*df.columns, (F.col("_k") + 1).alias("rounds"), sigmoid(2 * F.col("_margin")).alias(name))
 
