@@ -10,7 +10,7 @@ from fraudlens.session import settle
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -20,8 +20,12 @@ def _small_star(links: DataFrame) -> DataFrame:
     return hung.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none itself."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionAll(
+        links.select("v", F.lit(0), F.lit(1))
+    )
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("root").alias("root")).filter("up > 1 OR up = 1 AND root = 1").isEmpty()
 
 
 def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -30,13 +34,11 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     ``links`` holds pairs of any orderable type; loops, repeated and reversed pairs and nulls are fine.
     Each round joins links with the minimum of a node's neighbours: minima are combined before the
     shuffle and joins on a hub can be split, so no node's neighbours ever meet in one task. A round is
-    written to the shared folder; it stops when the links no longer change. No links: no rows.
+    written to the shared folder; it ends when every node hangs on a root. No links: no rows.
     """
     pairs = links.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u <> v")
     now = settle(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    before = None
-    while (state := _state(now)) != before:
-        before = state
+    while not _settled(now):
         now = settle(_small_star(_large_star(now)), "links")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
