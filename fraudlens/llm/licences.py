@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fraudlens.llm.decontaminate import words
 
@@ -66,12 +66,27 @@ def bigrams(w: Column) -> Column:
     return F.when(F.size(w) > 1, F.array_distinct(pairs)).otherwise(w)
 
 
-def template_bigrams(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
-    """``(template, licence, b, bigram)``: as many rows as the given templates have bigrams, fixed by the list."""
+def _token(w: Column, at: Column) -> Column:
+    return F.xxhash64(F.get(w, at), F.get(w, at + 1))
+
+
+def _places(w: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))))
+
+
+def template_prefixes(spark: SparkSession, templates: list[tuple[str, str]], least: float) -> DataFrame:
+    """``(template, licence, known, token)``: bigrams of which a unit like the template has one at least.
+
+    A coefficient of ``least`` needs least / (2 - least) of the template's b bigrams, so one of any
+    b - that + 1 of them; the longest are taken, as long words are rare. As many rows as the list fixes.
+    """
     table = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(k).alias("licence"), F.lit(t).alias("text")) for i, (k, t) in enumerate(templates)))
     rows = spark.range(1).select(F.explode(table).alias("t")).select("t.template", "t.licence", words(F.col("t.text")).alias("w"))
-    rows = rows.select("template", "licence", bigrams(F.col("w")).alias("all"))
-    return rows.select("template", "licence", F.size("all").alias("b"), F.explode("all").alias("bigram"))
+    rows = rows.filter("size(w) > 0").select("template", "licence", "w", bigrams(F.col("w")).alias("known"), _places(F.col("w")).alias("at"))
+    rows = rows.select("template", "licence", "known", F.concat_ws(" ", F.slice("w", F.col("at") + 1, 2)).alias("bigram"), _token(F.col("w"), F.col("at")).alias("token"))
+    rank = F.row_number().over(Window.partitionBy("template").orderBy(F.desc(F.length("bigram")), "bigram"))
+    needed = F.ceil(F.size("known") * (least / (2 - least)) - 1e-9)
+    return rows.dropDuplicates(["template", "bigram"]).withColumn("rank", rank).filter(F.col("rank") <= F.size("known") - needed + 1).drop("rank", "bigram")
 
 
 def licence_matches(
@@ -79,25 +94,25 @@ def licence_matches(
 ) -> DataFrame:
     """``(id, unit, licence, dice)``: lines (by number) and whole texts (unit -1) that resemble a template.
 
-    Lines and texts are normalised to words in lower case. With a bigrams in a unit and b in a template,
-    the coefficient 2c / (a + b) reaches ``least`` only if a and b lie within a factor of (2 - least) / least,
-    which is asked before the shared bigrams c are counted. The templates' bigrams are broadcast: their
-    number is that of the given list. A unit is returned once per licence, with its best coefficient.
+    Lines and texts are normalised to words in lower case. Units that share a prefix bigram with a
+    template are its candidates. With a bigrams in the unit and b in the template, the coefficient
+    2c / (a + b) reaches ``least`` only if a and b lie within a factor of (2 - least) / least, which is
+    asked before the shared bigrams c are counted. The prefixes are broadcast: their number is fixed by
+    the given list. A unit is returned once per licence, with its best coefficient.
     """
-    known = template_bigrams(docs.sparkSession, templates)
+    known = template_prefixes(docs.sparkSession, templates, least)
     text = F.coalesce(F.col(text_col), F.lit(""))
     whole = F.when(F.contains(text, F.lit("\n")), text)  # a text of one line is that line
     rows = docs.select(F.col(id_col).alias("id"), F.posexplode(F.concat(F.array(whole), F.split(text, "\n"))).alias("at", "unit_text"))
     rows = rows.select("id", (F.col("at") - 1).alias("unit"), words(F.col("unit_text")).alias("w"))
-    rows = rows.select("id", "unit", bigrams(F.col("w")).alias("all")).withColumn("a", F.size("all"))
-    near = (2 - least) / least
-    rows = rows.select("id", "unit", "a", F.explode("all").alias("bigram"))
-    bound = (F.col("a") <= F.col("b") * near) & (F.col("b") <= F.col("a") * near)
-    hits = rows.join(F.broadcast(known), "bigram").filter(bound)
-    counted = hits.groupBy("id", "unit", "a", "template", "licence", "b").agg(F.count("*").alias("c"))
-    dice = 2.0 * F.col("c") / (F.col("a") + F.col("b"))
-    found = counted.select("id", "unit", "licence", dice.alias("dice")).filter(F.col("dice") >= least)
-    return found.groupBy(F.col("id").alias(id_col), "unit", "licence").agg(F.max("dice").alias("dice"))
+    rows = rows.select("id", "unit", "w", _places(F.col("w")).alias("at")).withColumn("token", _token(F.col("w"), F.col("at")))
+    near = rows.join(F.broadcast(known), "token").select("id", "unit", "licence", "known", bigrams(F.col("w")).alias("all"))
+    a, b, factor = F.size("all"), F.size("known"), (2 - least) / least
+    dice = F.when((a <= b * factor) & (b <= a * factor), 2.0 * F.size(F.array_intersect("all", "known")) / (a + b))
+    # asked behind the aggregation: a filter before it would become a condition of the join, which then would
+    # copy a unit's words for each of its places
+    found = near.groupBy(F.col("id").alias(id_col), "unit", "licence").agg(F.max(dice).alias("dice"))
+    return found.filter(F.col("dice") >= least)
 
 
 def licence_scan(
