@@ -18,8 +18,8 @@ SIZES = (3, 4, 5)  # characters of an n-gram; a word's ends are marked
 SEGMENT = 16  # words that are averaged
 TOXIC_ROWS, CLEAN_ROWS = 2_000, 4_000  # bound of the training sample
 TRAIN_BYTES = 64_000  # longer texts are not trained on
-CACHED = 200_000  # word scores in each of the two generations of a worker's cache
-CHUNK = 4 << 20
+CACHED = 100_000  # word scores in each of the two generations of a worker's cache
+CHUNK = 2 << 20
 RATES = (5.0, 0.1, 0.1)  # step lengths of vectors, softmax rows and biases
 EMPTY = 0.05  # weight of an empty clean text beside the training texts
 
