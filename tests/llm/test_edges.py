@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -134,6 +135,37 @@ def test_fuzzy_lines(spark, monkeypatch):
     assert got == brute.lines(rows)
 
 
+def test_candidates_of_a_large_group():
+    """A bucket gives each line of a group once, however many parts the group is cut into."""
+    n = 20_000
+    rows = pa.table({
+        "bucket": pa.array([3, 3], pa.int32()), "keys": [np.full(n, 7, np.uint64).tobytes(), np.full(4, 9, np.uint64).tobytes()],
+        "ids": [np.arange(n, dtype=np.int64).tobytes(), np.arange(4, dtype=np.int64).tobytes()], "more": [b"", None],
+    })
+    found = line_module.candidates(rows, 256)
+    assert found.num_rows == n + 4 and found.column("large").to_pylist() == [True] * (n + 4)
+
+
+def test_many_near_lines(spark):
+    """Tens of thousands of different near lines: one stays, and the tiles' rows follow the lines, not their square."""
+    text = "the quarterly statement of account number {:06d} was sent to the address that the customer had given to the branch, with all enclosures"
+    n = 30_000
+    rows = spark.range(n, numPartitions=8).select(F.col("id").alias("doc_id"), F.format_string(text.replace("{:06d}", "%06d"), F.col("id")).alias("text"))
+    made = []
+    write = line_module.settle
+
+    def counted(df, label):
+        out = write(df, label)
+        made.append((label, out.count()))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(line_module, "settle", counted)
+        found = line_dedup(rows).agg(F.sum("n_lines"), F.sum("n_removed"), F.min(F.when(F.col("n_removed") == 0, F.col("doc_id")))).first()
+    assert tuple(found) == (n, n - 1, 0)
+    assert dict(made)["groups"] < 20 * n
+
+
 def test_simhash(spark, docs, none, texts):
     assert as_map(simhash_groups(docs)) == brute.simhash(texts)
     assert simhash_groups(none).collect() == []
