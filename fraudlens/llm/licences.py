@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fraudlens.llm.decontaminate import words
+from fraudlens.llm.licence_texts import TEXTS
+from fraudlens.session import settle
 
 SIMILAR = 0.8
 
@@ -115,17 +117,81 @@ def licence_matches(
     return found.filter(F.col("dice") >= least)
 
 
+def window_templates(spark: SparkSession, templates: list[tuple[str, str]], least: float) -> DataFrame:
+    """``(template, licence, known, length, enough, tokens)``: half of a template's bigrams, with their offsets.
+
+    A unit like the template has least / (2 - least) of its bigrams, so it lacks at most the others; of any
+    half of them it has ``enough``. The longest are taken, as long words are rare.
+    """
+    table = F.array(*(F.struct(F.lit(i).alias("template"), F.lit(k).alias("licence"), F.lit(t).alias("text")) for i, (k, t) in enumerate(templates)))
+    rows = spark.range(1).select(F.explode(table).alias("t")).select("t.template", "t.licence", words(F.col("t.text")).alias("w")).filter("size(w) > 0")
+    rows = settle(rows.select("template", "licence", "w", bigrams(F.col("w")).alias("known"), F.size("w").alias("length")), "templates")
+    numbers = F.sequence(F.lit(0), F.greatest(F.size("w") - 2, F.lit(0)))
+    pair = lambda i: F.struct(F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)).alias("bigram"), _token(F.col("w"), i).alias("token"), i.alias("at"))
+    b = F.size("known")
+    lacking = b - F.ceil(b * (least / (2 - least)) - 1e-9)
+    taken = F.greatest(F.ceil(b / 2), lacking + 1)
+    places = rows.select("template", taken.alias("taken"), F.explode(F.transform(numbers, pair)).alias("p")).select("template", "taken", "p.*")
+    first = places.groupBy("template", "taken", "bigram", "token").agg(F.min("at").alias("offset"))
+    rank = F.row_number().over(Window.partitionBy("template").orderBy(F.desc(F.length("bigram")), "bigram"))
+    chosen = first.withColumn("rank", rank).filter(F.col("rank") <= F.col("taken"))
+    tokens = chosen.groupBy("template").agg(F.collect_list(F.struct("token", "offset")).alias("tokens"))
+    return rows.select("template", "licence", "known", "length", (taken - lacking).cast("int").alias("enough")).join(tokens, "template")
+
+
+def window_matches(
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + TEXTS, least: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``(id, licence, start, length, dice)``: runs of a template's length of words, over line ends, that resemble it.
+
+    A document that has too few of a template's chosen bigrams has no such run. In the others runs are placed
+    where bigrams stand as in the template: of the places within a sixteenth of its length, the commonest.
+    """
+    table = settle(window_templates(docs.sparkSession, templates, least), "templates")
+    tokens = table.select("template", "length", "enough", F.explode("tokens").alias("t")).select("template", "length", "enough", "t.token", "t.offset")
+    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = text.select("id", words(F.col("text")).alias("w"))
+    rows = rows.select("id", "w", _places(F.col("w")).alias("at")).select("id", "at", _token(F.col("w"), F.col("at")).alias("token"))
+    hits = rows.join(F.broadcast(tokens), "token").select("id", "template", "length", "enough", "offset", (F.col("at") - F.col("offset")).alias("start"))
+    starts = hits.groupBy("id", "template", "length", "enough", "start").agg(F.collect_set("offset").alias("offsets"))
+    each = starts.groupBy("id", "template", "length", "enough").agg(F.collect_list(F.struct("start", "offsets")).alias("places"))
+    each = each.filter(F.size(F.array_distinct(F.flatten("places.offsets"))) >= F.col("enough"))
+    place = each.select("id", "template", "length", F.explode("places").alias("p"))
+    near = F.floor(F.col("p.start") / (F.floor(F.col("length") / 16) + 1))
+    best = place.groupBy("id", "template", near.alias("block")).agg(F.max(F.struct(F.size("p.offsets").alias("n"), F.col("p.start").alias("start")))["start"].alias("start"))
+    best = settle(best.groupBy("id", "template").agg(F.collect_set("start").alias("starts")), "places")
+    placed = text.withColumnRenamed("id", "d").join(best, F.col("d").eqNullSafe(F.col("id"))).join(F.broadcast(table.drop("tokens", "enough")), "template")
+    runs = placed.select("id", "licence", "known", "length", words(F.col("text")).alias("w"), F.explode("starts").alias("start"))
+    begin, size = F.greatest("start", F.lit(0)), F.col("length") + F.least("start", F.lit(0))
+    runs = runs.filter(size > 0).select("id", "licence", "known", begin.alias("start"), size.alias("length"), bigrams(F.slice("w", begin + 1, size)).alias("all"))
+    dice = 2.0 * F.size(F.array_intersect("all", "known")) / (F.size("all") + F.size("known"))
+    return runs.withColumn("dice", dice).filter(F.col("dice") >= least).select(F.col("id").alias(id_col), "licence", "start", "length", "dice")
+
+
 def licence_scan(
-    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text", texts: list[tuple[str, str]] = TEXTS
 ) -> DataFrame:
     """``(id, n_notices, licences, best_dice)`` for every row of ``docs``: matching units, their licences and the best coefficient.
 
-    Null and empty texts have no units. Ids name documents: rows with the same id, null too, share their
-    matches. Other columns are not looked at. No rows: no rows.
+    Units are lines, whole texts and, for licences that a document has in none of these, runs of words that do
+    not overlap: wrapped, embedded and whole licences (``texts``). Null and empty texts have no units. Ids
+    name documents: rows with the same id, null too, share their matches. Other columns are not looked at.
+    No rows: no rows.
     """
-    found = licence_matches(docs, templates, least, id_col, text_col).withColumnRenamed(id_col, "id")
-    each = found.groupBy("id").agg(
-        F.count_distinct("unit").alias("n_notices"), F.sort_array(F.collect_set("licence")).alias("licences"), F.max("dice").alias("best_dice")
+    found = settle(licence_matches(docs, templates, least, id_col, text_col).withColumnRenamed(id_col, "id"), "units")
+    runs = window_matches(docs, templates + texts, least, id_col, text_col).withColumnRenamed(id_col, "id")
+    named = found.select(F.col("id").alias("i"), F.col("licence").alias("l")).distinct()
+    runs = runs.join(named, F.col("id").eqNullSafe(F.col("i")) & (F.col("licence") == F.col("l")), "left_anti")
+    by = runs.groupBy("id").agg(
+        F.sort_array(F.collect_set(F.struct((F.col("start") + F.col("length")).alias("end"), "start"))).alias("runs"),
+        F.collect_set("licence").alias("licences"), F.max("dice").alias("best_dice"),
+    )
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+    apart = F.aggregate("runs", zero, lambda x, r: F.when(r["start"] >= x["end"], F.struct(r["end"].alias("end"), (x["n"] + 1).alias("n"))).otherwise(x), lambda x: x["n"])
+    lines = found.groupBy("id").agg(F.count_distinct("unit").alias("n"), F.collect_set("licence").alias("licences"), F.max("dice").alias("best_dice"))
+    both = lines.unionAll(by.select("id", apart.cast("long").alias("n"), "licences", "best_dice"))
+    each = both.groupBy("id").agg(
+        F.sum("n").alias("n_notices"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("licences")))).alias("licences"), F.max("best_dice").alias("best_dice")
     )
     ids = docs.select(F.col(id_col).alias("doc"))
     return ids.join(each, F.col("doc").eqNullSafe(F.col("id")), "left").select(

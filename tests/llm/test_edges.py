@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names and hot groups."""
 
 import random
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from fraudlens.llm import lines as line_module, packed, queries, suffix, vectors
 from fraudlens.llm.bytebpe import Codec, Encoder, encode_documents, read_ranks
 from fraudlens.llm.components import components
 from fraudlens.llm.decontaminate import contamination
+from fraudlens.llm.licence_texts import TEXTS
 from fraudlens.llm.licences import licence_matches, licence_scan
 from fraudlens.llm.lines import line_dedup
 from fraudlens.llm.simhash import near_links, simhash_groups
@@ -264,6 +266,23 @@ def test_licences(spark, docs, none):
     assert licence_scan(docs).count() == docs.count()
 
 
+def test_licence_runs(spark):
+    """Whole, wrapped and embedded licences; prose that shares words with one has none."""
+    whole = {}
+    for name, text in TEXTS:
+        whole.setdefault(name, text)
+    filler = "some prose of no interest at all " * 30
+    notice, gpl = queries.TEMPLATES[2][1], next(t for k, t in queries.TEMPLATES if k == "gpl-3.0" and t.startswith("This program"))
+    texts = [
+        "\n".join(textwrap.wrap(whole["bsd"], 70)), "Copyright 2020 A. Author\n" + "\n".join(textwrap.wrap(whole["isc"], 60)) + "\n" + filler,
+        "\n".join(textwrap.wrap(notice, 70)) + "\n\n" + filler, filler + gpl + " " + filler, "\n".join(textwrap.wrap(whole["gpl-3.0"], 75)),
+        filler + "\n" + whole["apache-2.0"], filler + "the license and the software are permitted in all copies",
+    ]
+    got = {r["doc_id"]: (r["n_notices"], r["licences"]) for r in licence_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [set(got[i][1]) >= {k} for i, k in enumerate(["bsd", "isc", "apache-2.0", "gpl-3.0", "gpl-3.0", "apache-2.0"])] == [True] * 6, got
+    assert all(got[i][0] > 0 for i in range(6)) and got[6] == (0, [])
+
+
 def test_toxicity(spark, docs, none, texts):
     labels = spark.createDataFrame([(d, d % 2) for d, _ in texts] + [(3, None), (None, 1)], "doc_id long, toxic int")
     model = train_toxicity(docs, labels, toxic_rows=6, clean_rows=6)
