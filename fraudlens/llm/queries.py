@@ -11,6 +11,9 @@ from fraudlens.llm.bytebpe import digests, encode_documents
 from fraudlens.llm.decontaminate import contamination
 from fraudlens.llm.licences import TEMPLATES, licence_scan
 from fraudlens.llm.lines import line_dedup
+from fraudlens.llm.mergebpe import encode_by_merges
+from fraudlens.llm.middle import fill_in_middle, restored
+from fraudlens.llm.resample import importance_resample
 from fraudlens.llm.simhash import simhash_groups
 from fraudlens.llm.substring import substring_dedup
 from fraudlens.llm.suffix import suffix_dedup
@@ -44,6 +47,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def merge_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 TOXIC = 0.7  # score from which a text counts as toxic
 
 
@@ -227,3 +236,75 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l, sha256('7:' || doc_id) AS h FROM documents),
+r AS (
+  SELECT doc_id, text, l, len(l) AS n, list_transform(range(0, 4), lambda i: CAST('0x' || substr(h, CAST(8 * i + 1 AS INT), 8) AS BIGINT)) AS r FROM d),
+c AS (
+  SELECT doc_id, text, l, n, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+              WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM r),
+p AS (
+  SELECT doc_id, text, n, form, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p"""
+
+
+@query("op11_fill_in_middle", OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50)
+    again = restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256")
+    )
+
+
+@query("op12_merge_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_by_merges(table(spark, sf_dir, "documents"), merge_bpe))
+
+
+OP13 = f"""
+WITH RECURSIVE
+steps(b, k, c) AS (
+  SELECT b, 0, b FROM range(0, 256) t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+dw AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
+du AS (SELECT doc_id, unnest(w) AS word FROM dw),
+tu AS (SELECT unnest({_words("coalesce(text, '')")}) AS word FROM benchmark),
+vocab AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM du UNION SELECT word FROM tu)),
+bytes AS (
+  SELECT word, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS INT), 2) AS BIGINT)) AS b FROM vocab),
+bucket AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM bytes, crc),
+src AS (SELECT bucket, count(*) AS n FROM du JOIN bucket USING (word) GROUP BY bucket),
+tgt AS (SELECT bucket, count(*) AS n FROM tu JOIN bucket USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM du) AS s, (SELECT count(*) FROM tu) AS t),
+gain AS (
+  SELECT src.bucket, CAST(floor(1000 * ln((coalesce(tgt.n, 0) + 1)::DOUBLE * (s + 10000)::DOUBLE / ((src.n + 1)::DOUBLE * (t + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM src LEFT JOIN tgt USING (bucket), totals),
+summed AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM du JOIN bucket USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM dw LEFT JOIN summed USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+@query("op13_importance_resample", OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), longest=1, buckets=10_000, least_words=20, percent=10, seed=2024
+    )
