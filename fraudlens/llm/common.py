@@ -10,7 +10,9 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from fraudlens.session import settle
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -68,6 +70,16 @@ def carried(df: DataFrame, columns: list[str]) -> tuple[DataFrame, str, dict[str
     return rows, kinds, {c: f"c{i}" for i, c in enumerate(columns)}
 
 
+def keyed(df: DataFrame, columns: list[str], label: str = "rows") -> tuple[DataFrame, dict[str, str]]:
+    """``columns`` under positional names with a number ``row`` for every row, and the place of each column.
+
+    Written once, so that all passes agree on the numbers: what is found out about a row comes back by
+    them, whatever its id is, and column names cannot clash with those used on the way.
+    """
+    rows, _, place = carried(df, columns)
+    return settle(rows.withColumn("row", F.monotonically_increasing_id()), label), place
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
 

@@ -49,15 +49,15 @@ def _shingles(passages: DataFrame) -> DataFrame:
 
 
 def _doc_tokens(docs: DataFrame, widths: list[int], keep_words: bool) -> DataFrame:
-    """``(doc, at, width, token)`` of every shingle position of every document."""
-    split = docs.select(F.col("doc"), words(F.col("text")).alias("w")).filter(F.size("w") >= min(widths))
-    rows = split.select("doc", "w", F.explode(F.sequence(F.lit(0), F.size("w") - min(widths))).alias("at"))
+    """``(row, at, width, token)`` of every shingle position of every document ``(row, w)``."""
+    split = docs.select("row", "w").filter(F.size("w") >= min(widths))
+    rows = split.select("row", "w", F.explode(F.sequence(F.lit(0), F.size("w") - min(widths))).alias("at"))
     tokens = [F.struct(F.lit(k).alias("width"), _token(F.col("w"), F.col("at"), k).alias("token")) for k in widths]
     if len(tokens) == 1:
         rows = rows.withColumn("t", tokens[0])
     else:
         rows = rows.withColumn("t", F.explode(F.array(*tokens)))
-    return rows.select("doc", *(["w"] if keep_words else []), "at", F.col("t.width").alias("width"), F.col("t.token").alias("token"))
+    return rows.select("row", *(["w"] if keep_words else []), "at", F.col("t.width").alias("width"), F.col("t.token").alias("token"))
 
 
 def _size(df: DataFrame) -> int:
@@ -80,14 +80,14 @@ def prefixes(docs: DataFrame, passages: DataFrame, widths: list[int], broadcast_
 
 
 def passage_hits(docs: DataFrame, passages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``(doc, start, n, passage)``: where a passage's words stand in a document, verified word by word.
+    """``(row, start, n, passage)``: where a passage's words stand in a document ``(row, w)``, verified word by word.
 
     Beyond ``broadcast_bytes`` of prefixes the documents' tokens are shuffled, and candidates fetch
-    their document's words by its id.
+    their document's words by its row number.
     """
     widths = [r["width"] for r in passages.select(F.least("n", F.lit(SHINGLE)).alias("width")).distinct().collect()]
     if not widths:
-        return docs.select("doc", F.lit(0).alias("start"), F.lit(0).alias("n"), F.array(F.lit("")).alias("passage")).limit(0)
+        return docs.select("row", F.lit(0).alias("start"), F.lit(0).alias("n"), F.array(F.lit("")).alias("passage")).limit(0)
     rare = settle(prefixes(docs, passages, sorted(widths), broadcast_bytes), "prefixes")
     start = F.col("at") - F.col("offset")
     if _size(rare) <= broadcast_bytes:
@@ -96,10 +96,20 @@ def passage_hits(docs: DataFrame, passages: DataFrame, broadcast_bytes: int = BR
         near = _doc_tokens(docs, sorted(widths), False).join(rare.hint("merge"), ["width", "token"])
     near = near.filter(start >= 0).withColumn("start", start)
     if "w" not in near.columns:
-        texts = docs.select(F.col("doc").alias("d"), words(F.col("text")).alias("w"))
-        near = near.join(texts, F.col("doc").eqNullSafe(F.col("d")))
+        near = near.join(docs.select("row", "w"), "row")
     fits = (F.col("start") + F.col("n") <= F.size("w")) & (F.slice("w", F.col("start") + 1, F.col("n")) == F.col("passage"))
-    return near.filter(fits).select("doc", "start", "n", "passage")
+    return near.filter(fits).select("row", "start", "n", "passage")
+
+
+def covered(spans: Column) -> Column:
+    """Number of places that sorted ``(start, end)`` spans cover together."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
+
+    def further(done: Column, span: Column) -> Column:
+        fresh = F.greatest(span["end"] - F.greatest(span["start"], done["upto"]), F.lit(0))
+        return F.struct((done["n"] + fresh).alias("n"), F.greatest(done["upto"], span["end"]).alias("upto"))
+
+    return F.aggregate(spans, start, further, lambda done: done["n"])
 
 
 def contamination(
@@ -115,22 +125,22 @@ def contamination(
     """``(id, n_words, hit_words, items)`` for every row of ``docs``: its words, how many of them lie inside
     an occurrence of an item's window, and the sorted ids (as text) of the items whose windows occur.
 
-    Null and empty texts and items have no words. Ids name documents: rows with the same id share their
-    hits, null is an id like any other; other columns are not looked at. Empty tables give no rows, or
-    no hits.
+    Null and empty texts and items have no words. Every row is a document of its own, whatever its id:
+    ids may be null, repeated and of any type; other columns are not looked at. Empty tables give no rows,
+    or no hits. Texts are split once; what is written for later passes are their words.
     """
-    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    found = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text_col)).alias("w"))
+    found = settle(found, "words")
     windows = settle(item_windows(items, window, item_id, item_text), "windows")
-    hits = settle(passage_hits(docs, windows.select("passage", "n").distinct(), broadcast_bytes).distinct(), "hits")
-    spans = F.transform(F.collect_set(F.struct("start", "n")), lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1))
-    hit = hits.groupBy("doc").agg(F.size(F.array_distinct(F.flatten(spans))).cast("long").alias("hit_words"))
-    named = hits.select("doc", "passage").distinct().join(windows.select("item", "passage"), "passage")
-    found = named.groupBy("doc").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    both = hit.join(found, hit["doc"].eqNullSafe(found["doc"])).select(hit["doc"].alias("d"), "hit_words", "items")
-    counted = docs.select("doc", F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    return counted.join(both, F.col("doc").eqNullSafe(F.col("d")), "left").select(
-        F.col("doc").alias(id_col),
+    hits = settle(passage_hits(found, windows.select("passage", "n").distinct(), broadcast_bytes).distinct(), "hits")
+    spans = F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end"))))
+    named = windows.groupBy("passage").agg(F.collect_set("item").alias("items"))
+    both = hits.join(named, "passage").groupBy("row").agg(
+        covered(spans).alias("hit_words"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+    return found.select("id", "row", F.size("w").cast("long").alias("n_words")).join(both, "row", "left").select(
+        F.col("id").alias(id_col),
         "n_words",
-        F.coalesce("hit_words", F.lit(0)).alias("hit_words"),
+        F.coalesce("hit_words", F.lit(0).cast("long")).alias("hit_words"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fraudlens.llm.common import batch_of, pieces, run_starts, ship, whole_runs
+from fraudlens.llm.common import batch_of, keyed, partitions, pieces, run_starts, ship, whole_runs
 from fraudlens.llm.components import components
 from fraudlens.session import settle
 
@@ -18,7 +18,6 @@ BLOCKS = 4  # blocks of 16 bits
 SEGMENT = 2  # bits of a segment, whose count is one grid coordinate
 CELL = 4096  # fingerprints that are compared at once
 
-_PRINTS = pa.schema([("doc", pa.int64()), ("fp", pa.int64())])
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
 
@@ -36,17 +35,17 @@ def fingerprint(text: bytes | None, width: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc, fp)``: one signed 64-bit fingerprint per row, whole texts, no shuffle. Null is an empty text."""
-    ship(docs.sparkSession)
+def fingerprints(rows: DataFrame, width: int = 3) -> DataFrame:
+    """``(name, fp)``: one signed 64-bit fingerprint per row of ``(name, text)``, whole texts, no shuffle. Null
+    is an empty text; names of any type pass through."""
+    ship(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t, width) for t in pieces(batch.column(1))]
-            yield batch_of(_PRINTS, batch.column(0), np.array(prints, np.uint64).view(np.int64))
+            prints = np.array([fingerprint(t, width) for t in pieces(batch.column(1))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["name", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc long, fp long")
+    return rows.select("name", "text").mapInArrow(run, f"name {rows.schema['name'].dataType.simpleString()}, fp long")
 
 
 def block_counts(fp: np.ndarray) -> np.ndarray:
@@ -145,7 +144,7 @@ def near_links(prints: DataFrame, most: int = 3, cell_rows: int = CELL) -> DataF
     """
     if not 0 <= most <= 3:
         raise ValueError("the grid serves distances of 3 bits or fewer")
-    cells = _spread(prints)
+    cells = _spread(prints.repartition(partitions(prints.sparkSession), "fp"))  # a row becomes some thirty
     big = settle(cells.groupBy("cell").count().filter(F.col("count") > cell_rows)
                  .select("cell", F.ceil(F.col("count") / cell_rows).cast("int").alias("parts")), "cells")
     rows = cells
@@ -164,18 +163,40 @@ def near_links(prints: DataFrame, most: int = 3, cell_rows: int = CELL) -> DataF
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "u long, v long")
 
 
+def grouped_prints(prints: DataFrame, most: int) -> DataFrame:
+    """``(fp, first)``: of every fingerprint in ``(name, fp)``, the least name in its group; nulls are left out."""
+    distinct = settle(prints.groupBy("fp").agg(F.min("name").alias("name")), "distinct")
+    groups = components(near_links(distinct.select(F.col("fp").alias("doc"), "fp"), most)).withColumnRenamed("node", "fp")
+    named = settle(groups.join(distinct, "fp"), "named")
+    first = named.groupBy("component").agg(F.min("name").alias("first"))
+    joined = named.join(first, "component").select("fp", "first", F.lit(True).alias("joined"))
+    return distinct.join(joined, "fp", "left").select("fp", F.when(F.col("joined"), F.col("first")).otherwise(F.col("name")).alias("first"))
+
+
 def simhash_groups(docs: DataFrame, width: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
+    """``(id, fingerprint, component_id)`` for every row of ``docs``.
 
     Texts are lower-cased in ASCII and split at ASCII white space; fewer words than ``width``: the whole
     sequence is the one shingle. Null and empty texts have fingerprint zero, which links like any other.
-    Rows with one fingerprint are joined before the search; other columns are not looked at. An empty
-    table gives no rows.
+    Rows with one fingerprint are joined before the search; other columns are not looked at. Ids are of
+    any orderable type and need not be unique. ``component_id`` is the least id of the group; rows without
+    an id belong to groups but name none, so it is null only where no row of the group has one. An
+    empty table gives no rows.
     """
-    prints = settle(fingerprints(docs, width, id_col, text_col), "prints")
-    distinct = settle(prints.groupBy("fp").agg(F.min("doc").alias("doc")), "distinct")
-    groups = components(near_links(distinct, most)).withColumnRenamed("node", "doc")
-    named = distinct.join(groups, "doc", "left").select("fp", F.coalesce("component", "doc").alias("component_id"))
-    return prints.join(named.hint("merge"), "fp").select(
-        F.col("doc").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    rows = docs.select(F.col(id_col).alias("name"), F.col(text_col).cast("string").alias("text"))
+    prints = settle(fingerprints(rows, width), "prints")
+    return prints.join(grouped_prints(prints, most).hint("merge"), "fp").select(
+        F.col("name").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id")
     )
+
+
+def simhash_dedup(docs: DataFrame, width: int = 3, most: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group of ``simhash_groups``: that with the least id, rows without one last;
+    of equal ids the first that is read. All columns are kept, whatever their names; ids may be null or repeated."""
+    rows, place = keyed(docs, docs.columns)
+    key = F.col(place[id_col])
+    name = F.struct(key.isNull().alias("none"), key.alias("id"), "row")
+    prints = settle(fingerprints(rows.select(name.alias("name"), F.col(place[text_col]).cast("string").alias("text")), width), "prints")
+    first = grouped_prints(prints, most)
+    later = prints.join(first.hint("merge"), "fp").filter("name.row <> first.row").select("name.row")
+    return rows.join(later, "row", "left_anti").select(*(F.col(place[c]).alias(c) for c in docs.columns))

@@ -216,13 +216,13 @@ def train_toxicity(
     """Model from the texts of ``labelled`` rows (``id_col``, ``label_col`` 0 or 1; others are left out).
 
     The sample is bounded: at most ``toxic_rows`` and ``clean_rows`` rows of ``TRAIN_BYTES`` bytes, those
-    least by a hash of the id. One task fits it, so neither the driver nor the task grows with the data.
+    least by a hash of the id; of rows with one id, the least text. Rows without an id are not learnt from. One task fits it, so neither the driver nor the task grows with the data.
     """
     ship(docs.sparkSession)
     known = labelled.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().dropDuplicates(["id"])
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    short = texts.filter(F.octet_length("text") <= TRAIN_BYTES).select("id")
-    known = known.join(short, "id", "left_semi")
+    short = texts.filter(F.octet_length("text") <= TRAIN_BYTES)
+    known = known.join(short.select("id"), "id", "left_semi")
     order = [F.xxhash64("id"), F.col("id")]
     chosen = known.filter("label = 1").orderBy(*order).limit(toxic_rows).unionAll(known.filter("label = 0").orderBy(*order).limit(clean_rows))
 
@@ -232,7 +232,8 @@ def train_toxicity(
         model = train([texts[i] or "" for i in order], labels[order])
         return pa.table([pa.array([model.pack()], pa.binary())], names=["model"])
 
-    rows = texts.join(chosen, "id").withColumn("all", F.lit(0))
+    # of rows with one id, one text: ids that repeat cannot make the sample larger
+    rows = short.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text")).withColumn("all", F.lit(0))
     packed = rows.groupBy("all").applyInArrow(fit, "model binary").collect()  # one row of fixed size
     return Model.unpack(packed[0]["model"]) if packed else train([], np.zeros(0))
 
@@ -250,7 +251,9 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", keep:
     ship(spark)
     shared = spark.sparkContext.broadcast(model.pack())
     names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
-    rows, kinds, place = carried(docs.withColumn("__scored", docs[text_col]), [*names, "__scored"])
+    rows, kinds, place = carried(docs, [*names, text_col])
+    rows = rows.withColumn(f"c{len(names)}", F.col(f"c{len(names)}").cast("string"))
+    place |= {c: f"c{i}" for i, c in enumerate(names)}  # the text comes twice if it is kept
     kinds = kinds.rpartition(", ")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,5 +263,5 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", keep:
             values = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], [*batch.schema.names[:-1], "score"])
 
-    scored = rows.mapInArrow(run, f"{kinds}, score double")
+    scored = rows.mapInArrow(run, f"{kinds}, score double" if names else "score double")
     return scored.select(*(F.col(place[c]).alias(c) for c in names), "score")
