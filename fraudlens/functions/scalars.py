@@ -74,7 +74,10 @@ def epoch_seconds(col: Column) -> Column:
 
 
 def from_epoch_millis(col: Column) -> Column:
-    return F.timestamp_millis(col)
+    """Zone-free timestamp of milliseconds since 1970, whatever the session zone."""
+    zero = F.lit(0)
+    since = F.make_dt_interval(zero, zero, zero, (col / 1000).cast("decimal(18,3)"))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + since
 
 
 def duration_seconds(start: Column, end: Column) -> Column:

@@ -80,12 +80,13 @@ def build_edges_card_email(
 ) -> DataFrame:
     """Four directed edges per transaction: card->tx, tx->email, tx->card, email->tx.
 
-    Two lookups and one explode; transactions with an unknown entity have no edges.
+    Two lookups and one explode; transactions with an unknown entity have no edges. A missing key is an
+    entity of its own, if the vocabulary has it.
     """
     offsets = node_offsets(vocab_sizes({"card": cards, "email": emails}))
     narrow = tx.select(row_id, card, email)
-    named = lookup(narrow, cards.select(card, F.col("idx").alias("_c")), card, "inner", **tuning)
-    named = lookup(named, emails.select(email, F.col("idx").alias("_e")), email, "inner", **tuning)
+    named = lookup(narrow, cards.select(card, F.col("idx").alias("_c")), card, "inner", null_safe=True, **tuning)
+    named = lookup(named, emails.select(email, F.col("idx").alias("_e")), email, "inner", null_safe=True, **tuning)
     c, e = F.col("_c") + offsets["card"], F.col("_e") + offsets["email"]
     t = F.col(row_id) + offsets["txn"]
     return named.select(_directed([(c, t), (t, e), (t, c), (e, t)]).alias("_edge")).select("_edge.src", "_edge.dst")
@@ -311,12 +312,15 @@ def txn_features(
     features: Sequence[str] = NODE_FEATURES,
     **tuning,
 ) -> DataFrame:
-    """Add ``features``: raw values, then card embedding, then device embedding (zeros when unseen)."""
+    """Add ``features``: raw values, then card embedding, then device embedding (zeros when unseen).
+
+    A missing key part is a value like any other: it finds the entity that was made of it.
+    """
     raw = F.array(*[zero_default(F.col(c)) if c in df.columns else F.lit(0.0) for c in features])
-    out = lookup(df, card_emb.withColumnRenamed("emb", "_card_emb"), list(card_keys), "left", **tuning)
+    out = lookup(df, card_emb.withColumnRenamed("emb", "_card_emb"), list(card_keys), "left", null_safe=True, **tuning)
     device = zeros(dim)
     if device_emb is not None:
-        out = lookup(out, device_emb.withColumnRenamed("emb", "_device_emb"), list(device_keys), "left", **tuning)
+        out = lookup(out, device_emb.withColumnRenamed("emb", "_device_emb"), list(device_keys), "left", null_safe=True, **tuning)
         device = or_zeros(F.col("_device_emb"), dim)
     built = F.concat(raw, or_zeros(F.col("_card_emb"), dim), device)
     return out.withColumn("features", built).drop("_card_emb", "_device_emb")

@@ -53,6 +53,8 @@ def _value_bytes(col: Column, kind: T.DataType) -> Column:
     """Bytes of a value; what is nested is measured down to its leaves."""
     if isinstance(kind, (T.StringType, T.BinaryType)):
         size = F.octet_length(col) + 16
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        size = F.size(col) * 8 + 16
     elif isinstance(kind, T.ArrayType):
         size = F.aggregate(col, F.lit(16), lambda total, x: total + _value_bytes(x, kind.elementType))
     elif isinstance(kind, T.MapType):
@@ -146,11 +148,14 @@ def _null_safe_lookup(facts, dim, keys, how, broadcast_bytes, parts, salts) -> D
 def filter_unseen(
     df: DataFrame, vocabs: dict[str, DataFrame], **tuning
 ) -> tuple[DataFrame, DataFrame]:
-    """Keep rows whose every entity is in its vocabulary; second result counts before, after and dropped."""
+    """Keep rows whose every entity is in its vocabulary; second result counts before, after and dropped.
+
+    A missing key is seen if the vocabulary has an entity of the missing key.
+    """
     flagged = df
     seen = F.lit(True)
     for i, (key, vocab) in enumerate(vocabs.items()):
-        flagged = lookup(flagged, vocab.select(key, F.lit(True).alias(f"_seen{i}")), key, "left", **tuning)
+        flagged = lookup(flagged, vocab.select(key, F.lit(True).alias(f"_seen{i}")), key, "left", null_safe=True, **tuning)
         seen = seen & F.coalesce(F.col(f"_seen{i}"), F.lit(False))
     flagged = flagged.withColumn("_seen", seen)
     report = flagged.agg(
@@ -162,8 +167,8 @@ def filter_unseen(
 
 
 def attach_embedding(df: DataFrame, emb: DataFrame, key: str | Sequence[str], vec: str, dim: int, **tuning) -> DataFrame:
-    """Add the entity's embedding, or a zero vector for an unseen entity."""
-    return lookup(df, emb, key, "left", **tuning).withColumn(vec, or_zeros(F.col(vec), dim))
+    """Add the entity's embedding, or a zero vector for an unseen entity; a missing key part is a value like any other."""
+    return lookup(df, emb, key, "left", null_safe=True, **tuning).withColumn(vec, or_zeros(F.col(vec), dim))
 
 
 def take(df: DataFrame, split: str, name: str = "split") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fraudlens.functions.scalars import duration_seconds
+from fraudlens.functions.scalars import duration_seconds, from_epoch_millis
 from fraudlens.operators.joins import lookup
 from fraudlens.operators.ordering import latest
 from fraudlens.session import settle
@@ -109,12 +109,15 @@ def recent_failures(jobs: DataFrame, created: Sequence[str], reason: str, words:
     return jobs.orderBy(*[F.desc(c) for c in created]).limit(n).filter(matches(F.col(reason), words))
 
 
-def list_events(log: DataFrame, stream: str, ts: str, tie: str, message: str = "message") -> DataFrame:
-    """Events of the stream that was active last come first, in time order within a stream.
+def list_events(log: DataFrame, stream: str, ts: str, tie: str, message: str = "message", millis: bool = False) -> DataFrame:
+    """Events of the stream that was active last come first, in time order within a stream; with ``millis``
+    their times are epoch milliseconds and are listed as timestamps.
 
     The last event time per stream is one aggregation, written and looked up, so the log itself is not
     shuffled by stream; the listing is one global sort, which splits a busy stream over many tasks.
     """
+    if millis:
+        log = log.withColumn(ts, from_epoch_millis(F.col(ts)))
     last = settle(log.groupBy(stream).agg(F.max(ts).alias("last_event")), "streams")
     out = lookup(log, last, stream, "inner").withColumn(message, F.trim(message))
     return out.orderBy(F.desc("last_event"), stream, ts, tie)

@@ -65,7 +65,7 @@ def assemble(
         if flag_missing:
             made.append(F.col(c).isNull().cast("double").alias(f"{c}_missing"))
             inputs.append(f"{c}_missing")
-    kept = [c for c in out.columns if not c.endswith("_code")]
+    kept = [c for c in df.columns if c not in inputs]
     wide = out.select(*kept, *made)
     vector = VectorAssembler(inputCols=inputs, outputCol=output).transform(wide)
     return vector.select(*kept, output), inputs

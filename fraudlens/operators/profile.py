@@ -146,6 +146,23 @@ def median_profile(df: DataFrame, cols: Sequence[str], sample_cells: int = SAMPL
     return df.sparkSession.createDataFrame([(c, found[c]) for c in cols], "column string, median double")
 
 
+def sketched_medians(df: DataFrame, cols: Sequence[str], k: int = 400) -> DataFrame:
+    """(column, n, median, rank_error): medians of all columns in one scan, from mergeable sketches of fixed size.
+
+    A sketched median's rank is off by at most ``rank_error`` (a share of the column's values) with a
+    probability of 99 percent; ``column_medians`` is the exact way.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c).cast("double")).alias("x")) for c in cols]))
+    found = df.select(cells.alias("_cell")).select("_cell.*").groupBy("column").agg(F.count("x").alias("n"), F.kll_sketch_agg_double("x", k).alias("s"))
+    median = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", F.lit(0.5)))
+    return found.select("column", "n", median.alias("median"), F.lit(rank_error(k)).alias("rank_error"))
+
+
+def rank_error(k: int) -> float:
+    """Rank error of a sketch of size ``k`` at 99 percent, as its authors fitted it."""
+    return 2.296 / k**0.9021
+
+
 def label_rate(df: DataFrame, by: str, label: str) -> DataFrame:
     """Rows and share of positives per split."""
     return df.groupBy(by).agg(F.count("*").alias("n_rows"), F.avg(F.col(label).cast("double")).alias("label_rate"))

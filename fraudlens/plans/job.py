@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from fraudlens.operators.ordering import head_sample
 from fraudlens.plans.preprocess import preprocess, write_outputs
 from fraudlens.schema import KEY, identity_schema, transaction_schema
-from fraudlens.session import build_session
+from fraudlens.session import build_session, settle
 from fraudlens.sources.manifest import REQUIRED_OUTPUTS, RunLog, catalog, existing_outputs, fingerprint, missing_outputs
 from fraudlens.sources.sinks import write_manifest
 from fraudlens.sources.tables import read_optional, read_table
@@ -43,6 +43,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> str:
     if args.identities:
         idn = read_optional(spark, args.identities, _format(args.identities), schema=declared[1])
     tx, idn = head_sample(tx, idn, args.sample_size, KEY, [KEY])
+    # text is parsed once; fingerprint, merge and counts read the written columns
+    tx, idn = (settle(t, "input") if t is not None and fmt == "csv" else t for t, fmt in ((tx, _format(args.transactions)), (idn, _format(args.identities or ""))))
     mark = "/".join([fingerprint(tx), fingerprint(idn) if idn is not None else "none", args.fit_on])
     required = spark.createDataFrame([(p,) for p in REQUIRED_OUTPUTS], "path string")
     known = read_optional(spark, f"{args.output}/inputs", "text")

@@ -48,7 +48,8 @@ def preprocess(
 
     Statistics are fitted on training rows (``fit_on="all"`` fits on everything). Label, key and time are
     no features. Entity keys are kept as read, under ``key_*``, with missing ones as an entity of their own.
-    The merged rows are written once; every statistics pass then reads only the columns it needs.
+    The merged rows are written once; every statistics pass then reads only the columns it needs. The
+    prepared rows are written once more, a folder per split, for all outputs that are made of them.
     """
     base = spec or FeatureSpec()
     merged = normalize_nan(null_placeholders(merge_identity(tx, idn, base.key)))
@@ -65,7 +66,8 @@ def preprocess(
     encoder = LabelEncoder(spec.categorical, missing=MISSING).fit(fitting(filled))
     encoded = encoder.transform(filled)
     scaler = Scaler(spec.numerical, fit_on).fit(encoded)
-    return Prepared(scaler.transform(encoded), spec, imputer, encoder, scaler, tuple(entity_keys))
+    rows = settle(scaler.transform(encoded), "prepared", "split")
+    return Prepared(rows, spec, imputer, encoder, scaler, tuple(entity_keys))
 
 
 def write_outputs(prepared: Prepared, base: str, fmt: str = "csv") -> dict[str, str]:

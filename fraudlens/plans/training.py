@@ -12,6 +12,7 @@ from fraudlens.functions.scalars import UNKNOWN
 from fraudlens.operators.clean import fill_categorical
 from fraudlens.operators.entity import CARD_STATS, PAIR_STATS, entity_stats
 from fraudlens.operators.graph import build_edges_hetero, node_features, node_offsets, propagate_k, txn_features, vocab_sizes
+from fraudlens.operators.joins import lookup
 from fraudlens.operators.metrics import compare, evaluate
 from fraudlens.operators.model import TreeParams, assemble, regime_weights, score, train_gbt
 from fraudlens.operators.ordering import first_seen_vocab, global_row_id, stratified_split
@@ -56,13 +57,25 @@ def evaluate_run(run: Run) -> DataFrame:
 GRAPH_KEYS = {"card": ["card1", "card2", "card3", "card4"], "email": ["P_emaildomain"], "device": ["DeviceType", "DeviceInfo_simple"]}
 
 
+RISK = ("fraud_rate", "fraud_count")  # profile columns that are made of labels
+
+
 def hybrid_features(
-    df: DataFrame, order: Sequence[str], hops: int = 1, dim: int = 16, keys: dict[str, list[str]] | None = None, label: str = "isFraud"
+    df: DataFrame,
+    order: Sequence[str],
+    hops: int = 3,
+    dim: int = 16,
+    keys: dict[str, list[str]] | None = None,
+    label: str = "isFraud",
+    own_label: bool = False,
 ) -> DataFrame:
-    """Rows of both splits with ``features``: raw values, card vector, device vector.
+    """Rows of both splits with ``features``: raw values, card vector, device vector, fraud rates of the entities.
 
     Entity profiles and the graph come from training rows only; entity vectors are propagated without
-    trained weights and handed to the rows of every split.
+    trained weights, over as many hops as the published model has layers, and handed to the rows of every
+    split. A training row's own label is in none of its features: fraud rates stay out of the vectors
+    that are propagated, and come beside them, for training rows over the entity's other rows.
+    ``own_label`` leaves them in the vectors instead.
     """
     keys = {n: [c for c in cols if c in df.columns] for n, cols in (keys or GRAPH_KEYS).items()}
     named = fill_categorical(df, [c for cols in keys.values() for c in cols], UNKNOWN)
@@ -72,6 +85,8 @@ def hybrid_features(
         n: entity_stats(train, cols, label=label, stats=CARD_STATS if n == "card" else PAIR_STATS)
         for n, cols in keys.items()
     }
+    if not own_label:
+        stats = {n: s.withColumns({c: F.lit(0.0) for c in RISK if c in s.columns}) for n, s in stats.items()}
     nodes = node_features(train, vocabs, stats, keys, dim=max(dim, 17)).drop("ntype")
     edges = settle(build_edges_hetero(train, vocabs, keys), "edges")
     wide = propagate_k(nodes, edges, max(dim, 17), hops)
@@ -86,4 +101,20 @@ def hybrid_features(
         for n in ("card", "device")
     }
     out = txn_features(named, emb["card"], emb["device"], keys["card"], keys["device"], size)
+    if not own_label:
+        out = _entity_risk(settle(out, "vectors"), keys, label)
     return out.withColumn("features", array_to_vector("features"))
+
+
+def _entity_risk(rows: DataFrame, keys: dict[str, list[str]], label: str) -> DataFrame:
+    """``features`` with each entity's fraud rate among training rows behind them; a training row leaves itself out."""
+    train = rows.filter("split = 'train'")
+    for n, cols in keys.items():
+        name = f"_risk_{n}"
+        totals = settle(train.groupBy(*cols).agg(F.sum(F.col(label).cast("long")).alias("_s"), F.count(label).alias("_n")), "risk")
+        rows = lookup(rows, totals, cols, "left", null_safe=True)
+        own = (F.col("split") == "train") & F.col(label).isNotNull()
+        s = F.col("_s") - F.when(own, F.col(label).cast("long")).otherwise(0)
+        rows = rows.withColumn(name, F.coalesce(F.try_divide(s, F.col("_n") - own.cast("long")), F.lit(0.0))).drop("_s", "_n")
+    risks = [f"_risk_{n}" for n in keys]
+    return rows.withColumn("features", F.concat("features", F.array(*risks))).drop(*risks)

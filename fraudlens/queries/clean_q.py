@@ -192,7 +192,8 @@ def f01_string(spark, d):
 @query("f01_scalars_time", """
     SELECT event_id, strftime(ts, '%Y%m%d-%H%M%S') AS job_stamp, strftime(ts, '%d-%b-%Y-%H-%M-%S') AS report_stamp,
            strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS seconds,
-           CAST(epoch_us(ts) - epoch_us(date_trunc('day', ts)) AS DOUBLE) / 1e6 AS since_midnight FROM events""")
+           CAST(epoch_us(ts) - epoch_us(date_trunc('day', ts)) AS DOUBLE) / 1e6 AS since_midnight,
+           epoch_ms(CAST(epoch(date_trunc('second', ts)) AS BIGINT) * 1000 + event_id % 1000) AS from_millis FROM events""")
 def f01_time(spark, d):
     ts = F.col("ts")
     return b.table(spark, d, "events").select(
@@ -202,6 +203,7 @@ def f01_time(spark, d):
         s.iso_time(ts).alias("iso"),
         s.epoch_seconds(ts).alias("seconds"),
         s.duration_seconds(ts.cast("date").cast("timestamp_ntz"), ts).alias("since_midnight"),
+        s.from_epoch_millis(s.epoch_seconds(ts) * 1000 + F.col("event_id") % 1000).alias("from_millis"),
     )
 
 

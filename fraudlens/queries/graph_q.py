@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from fraudlens import bindings as b
 from fraudlens.functions.scalars import zero_default
 from fraudlens.operators import graph as g
+from fraudlens.operators.blocks import block_mean, sampled_blocks
+from fraudlens.operators.bucketed import BucketedGraph
 from fraudlens.operators.clean import add_simple_device, fill_categorical
 from fraudlens.operators.entity import CARD_STATS, PAIR_STATS, entity_stats
 from fraudlens.operators.joins import merge_identity
@@ -159,6 +161,31 @@ def g06(spark, d):
     return out.select("node_id", *[steady(F.col("feat")[2 * i], 6).alias(f"h{i}") for i in range(4)])
 
 
+def small_bucketed(spark, d):
+    """The small graph with its edges bucketed by transaction."""
+    _, cards, emails, nodes, edges = small_graph(spark, d)
+    return nodes, BucketedGraph.write(nodes, edges, g.node_offsets(g.vocab_sizes({"card": cards, "email": emails}))["txn"])
+
+
+@query("g05_propagate_bucketed", f"""
+    WITH h1 AS ({hop_sql('nfeat')}) SELECT node_id, {steady_sql("x0", 6)} AS x0, {steady_sql("x1", 6)} AS x1 FROM h1""")
+def g05_bucketed(spark, d):
+    """One hop over edges that are bucketed by transaction: none of them is exchanged."""
+    nodes, graph = small_bucketed(spark, d)
+    txn, entities = graph.hop(*graph.place(nodes), 2)
+    return txn.unionByName(entities).select("node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
+
+
+@query("g06_propagate_k_bucketed", f"""
+    WITH h1 AS ({hop_sql('nfeat')}), h2 AS ({hop_sql('h1')}), h3 AS ({hop_sql('h2')})
+    SELECT nfeat.node_id, {steady_sql("nfeat.x0", 6)} AS h0, {steady_sql("h1.x0", 6)} AS h1, {steady_sql("h2.x0", 6)} AS h2, {steady_sql("h3.x0", 6)} AS h3
+    FROM nfeat JOIN h1 USING (node_id) JOIN h2 USING (node_id) JOIN h3 USING (node_id)""")
+def g06_bucketed(spark, d):
+    nodes, graph = small_bucketed(spark, d)
+    out = graph.propagate_k(nodes, 2, 3)
+    return out.select("node_id", *[steady(F.col("feat")[2 * i], 6).alias(f"h{i}") for i in range(4)])
+
+
 _SAMPLED = """
     sampled AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY dst ORDER BY md5(src || '|' || dst || '|42'), src) AS rn
                 FROM edges) WHERE rn <= 32)"""
@@ -179,6 +206,67 @@ def g07_mean(spark, d):
     return out.select("node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
 
 
+@query("g07_sage_hops", f"""
+    WITH s1 AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY dst ORDER BY md5(src || '|' || dst || '|42'), src) AS rn FROM edges) WHERE rn <= 32),
+         s2 AS (SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY dst ORDER BY md5(src || '|' || dst || '|43'), src) AS rn FROM edges) WHERE rn <= 32),
+         a AS (SELECT node_id, coalesce(m.x0, 0) AS x0, coalesce(m.x1, 0) AS x1 FROM nfeat LEFT JOIN (
+                 SELECT dst, avg(x0) AS x0, avg(x1) AS x1 FROM s1 JOIN nfeat ON nfeat.node_id = s1.src GROUP BY dst) m ON m.dst = nfeat.node_id),
+         c AS (SELECT dst, avg(x0) AS x0, avg(x1) AS x1 FROM s2 JOIN a ON a.node_id = s2.src GROUP BY dst)
+    SELECT node_id, {steady_sql("coalesce(c.x0, 0)", 6)} AS x0, {steady_sql("coalesce(c.x1, 0)", 6)} AS x1 FROM nfeat LEFT JOIN c ON c.dst = nfeat.node_id""")
+def g07_hops(spark, d):
+    """Two hops of sampled means, each with a sample of its own."""
+    *_, nodes, edges = small_graph(spark, d)
+    out = g.sage_hops(nodes, edges, 2)
+    return out.select("node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
+
+
+# Mini-batches of the positive transactions: seeds, two hops of sampled edges, ids per batch
+VIEWS["seeds"] = """
+    SELECT (row_number() OVER (ORDER BY md5(node_id || '|42'), node_id) - 1) // 256 AS batch, node_id
+    FROM (SELECT n_cards + n_emails + row_id AS node_id FROM train, sizes WHERE isFraud = 1)"""
+for _hop, _fan in ((1, 32), (2, 32)):
+    VIEWS[f"fan_{_hop}"] = f"""
+    SELECT src, dst FROM (SELECT src, dst, row_number() OVER (PARTITION BY dst ORDER BY md5(src || '|' || dst || '|{41 + _hop}'), src) AS rn FROM edges)
+    WHERE rn <= {_fan}"""
+VIEWS["block_1"] = "SELECT batch, 1 AS hop, src, dst FROM seeds JOIN fan_1 ON dst = node_id"
+VIEWS["block_2"] = "SELECT batch, 2 AS hop, fan_2.src, fan_2.dst FROM (SELECT DISTINCT batch, src AS node_id FROM block_1) f JOIN fan_2 ON dst = node_id"
+VIEWS["block_nodes"] = """
+    SELECT batch, node_id, min(hop) AS hop, row_number() OVER (PARTITION BY batch ORDER BY min(hop), node_id) - 1 AS local_id FROM (
+      SELECT batch, node_id, 0 AS hop FROM seeds UNION ALL SELECT batch, src, 1 FROM block_1 UNION ALL SELECT batch, src, 2 FROM block_2)
+    GROUP BY batch, node_id"""
+
+
+def seed_nodes(train, cards, emails):
+    start = g.node_offsets(g.vocab_sizes({"card": cards, "email": emails}))["txn"]
+    return train.filter("isFraud = 1").select((F.col("row_id") + start).alias("node_id"))
+
+
+@query("g07_two_hop_blocks", """
+    WITH b AS (SELECT * FROM block_1 UNION ALL SELECT * FROM block_2)
+    SELECT b.batch, b.hop, b.src, b.dst, s.local_id AS src_id, t.local_id AS dst_id
+    FROM b JOIN block_nodes s ON s.batch = b.batch AND s.node_id = b.src JOIN block_nodes t ON t.batch = b.batch AND t.node_id = b.dst""")
+def g07_blocks(spark, d):
+    """Two hops, fan-out 32 each, batches of 256 seeds."""
+    train, cards, emails, _, edges = small_graph(spark, d)
+    blocks, _ = sampled_blocks(edges, seed_nodes(train, cards, emails), (32, 32), 256)
+    return blocks.select("batch", "hop", "src", "dst", F.col("src_id").cast("long").alias("src_id"), F.col("dst_id").cast("long").alias("dst_id"))
+
+
+@query("g07_block_mean", f"""
+    WITH m2 AS (SELECT batch, dst, avg(x0) AS x0, avg(x1) AS x1 FROM block_2 JOIN nfeat ON nfeat.node_id = src GROUP BY batch, dst),
+         m1 AS (SELECT block_1.batch, block_1.dst, avg(coalesce(m2.x0, 0)) AS x0, avg(coalesce(m2.x1, 0)) AS x1
+                FROM block_1 LEFT JOIN m2 ON m2.batch = block_1.batch AND m2.dst = block_1.src GROUP BY block_1.batch, block_1.dst)
+    SELECT seeds.batch, node_id, {steady_sql("coalesce(m1.x0, 0)", 6)} AS x0, {steady_sql("coalesce(m1.x1, 0)", 6)} AS x1
+    FROM seeds LEFT JOIN m1 ON m1.batch = seeds.batch AND m1.dst = node_id""")
+def g07_block_mean(spark, d):
+    """Means along the blocks, from the outermost hop inwards."""
+    train, cards, emails, nodes, edges = small_graph(spark, d)
+    blocks, local = sampled_blocks(edges, seed_nodes(train, cards, emails), (32, 32), 256)
+    seeds = local.filter("hop = 0").select("batch", "node_id")
+    out = block_mean(nodes, settle(blocks, "blocks"), seeds, 2)
+    return out.select("batch", "node_id", *[steady(F.col("feat")[i], 6).alias(f"x{i}") for i in range(2)])
+
+
 @query("g08_txn_features", """
     WITH dev AS (SELECT DeviceType, DeviceInfo_simple, CAST(embedding[33:64] AS DOUBLE[]) AS emb FROM (
                    SELECT *, node_id - (SELECT min(node_id) FROM hdevices) AS i FROM hdevices) JOIN embeddings ON vec_id = i),

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fraudlens import bindings as b
+from fraudlens.functions.scalars import epoch_seconds
 from fraudlens.operators import logs as l
 from fraudlens.operators.entity import entity_stats
 from fraudlens.queries.base import query
 from fraudlens.session import settle
 from fraudlens.streaming.scoring import drain_to_workspace, file_stream, with_profiles
 
+# The patterns of the error words and of the failure classes, lower-cased.
 _ERRORS = "error|exception|warn|warning|fail|failed|timeout|accessdenied|validationerror|outofmemory|notauthorized|unauthorized|forbidden|denied|exit.code|algorithmerror|no.module"
 _CLASS = """CASE WHEN regexp_matches(lower(message), 'not authorized|unauthorized|forbidden|denied|sagemaker:addtags|iam:passrole') THEN 'permission'
            WHEN regexp_matches(lower(message), 'algorithmerror|exit.code|no.module|importerror|filenotfounderror|keyerror|valueerror') THEN 'script'
@@ -92,6 +94,17 @@ def l07(spark, d):
     return l.list_events(b.log(spark, d), "stream", "ts", "event_id").select("event_id", "stream", "message", "last_event")
 
 
+@query("l07_list_events_millis", """
+    WITH m AS (SELECT event_id, stream, message, epoch_ms(epoch_us(ts) // 1000) AS ts FROM log)
+    SELECT event_id, stream, trim(message) AS message, ts, last_event FROM m JOIN (SELECT stream, max(ts) AS last_event FROM m GROUP BY stream) USING (stream)""")
+def l07_millis(spark, d):
+    """A log whose times are epoch milliseconds, as log services hand them out."""
+    whole = F.col("ts")
+    millis = epoch_seconds(whole) * 1000 + F.date_format(whole, "SSS").cast("long")
+    log = b.log(spark, d).withColumn("ts", millis)
+    return l.list_events(log, "stream", "ts", "event_id", millis=True).select("event_id", "stream", "message", "ts", "last_event")
+
+
 @query("l08_run_summary", """
     SELECT stream, arg_max(status, (ts, event_id)) AS final_status, count(*) AS polls,
            CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1e6 AS duration_s FROM log GROUP BY stream""")

@@ -1,8 +1,10 @@
 """Learners (M2-M5, M8, M9, G9).
 
-Trees have no SQL twin. Their queries return what the data fixes (rows, positives, rounds), bounds, and
-whether metrics agree with those recomputed from the scores that were emitted. ``m02_train_gbt`` trains at the
-published setting; the others use the reduced ``PARAMS``, since they look at what follows training.
+MLlib's trees have no SQL twin. Queries named ``_reduced`` return scores, average precisions, importances and
+comparisons as they are, of trees trained at the reduced ``PARAMS``; tests recompute them. Beside them stand
+checks that SQL can follow: what the data fixes (rows, positives, rounds), bounds, and whether metrics agree
+with those recomputed from the scores that were emitted. ``m02_train_gbt`` trains at the published setting.
+The trees of ``boost_q`` are repeated by SQL whole.
 """
 
 from __future__ import annotations
@@ -55,6 +57,45 @@ def checked(scored, label="label"):
     )
 
 
+@query("m03_regimes_compared_reduced")
+def m03_reduced(spark, d):
+    """Metrics of unweighted and weighted training on the same rows."""
+    rows = settle(_merged(spark, d), "rows")
+    return compare_runs(tabular_run(rows, SPEC, PARAMS, "none"), tabular_run(rows, SPEC, PARAMS, "both"), "TransactionID")
+
+
+@query("m04_staged_ap_reduced")
+def m04_reduced(spark, d):
+    """Average precision per number of rounds."""
+    model, ready, _, _ = small_model(spark, d)
+    return mo.staged_ap(model, ready.filter("split = 'test'").withColumn("label", F.col("isFraud")))
+
+
+@query("m04_best_rounds_reduced")
+def m04_best_reduced(spark, d):
+    model, ready, _, _ = small_model(spark, d)
+    return mo.best_rounds(model, ready.filter("split = 'test'").withColumn("label", F.col("isFraud")), patience=3)
+
+
+@query("m05_score_reduced")
+def m05_reduced(spark, d):
+    """The probability of every row."""
+    model, ready, _, _ = small_model(spark, d)
+    return mo.score(model, ready).select("TransactionID", "split", "score")
+
+
+@query("m08_importances_reduced")
+def m08_reduced(spark, d):
+    model, _, _, slots = small_model(spark, d)
+    return mo.top_importances(model, slots, spark)
+
+
+@query("m07_hybrid_reduced")
+def m07_reduced(spark, d):
+    """Scores of the held-out rows by graph features and boosted trees."""
+    return hybrid_scores(spark, d).select("TransactionID", "isFraud", "score")
+
+
 def _merged(spark, d):
     return merge_identity(clean_txn(spark, d), b.idn(spark, d))
 
@@ -178,6 +219,10 @@ def g09(spark, d):
     WITH own AS (SELECT count(*) AS n_rows, sum(isFraud) AS positives FROM split WHERE split = 'test') {_CHECKED} FROM own""")
 def m07_hybrid(spark, d):
     """Graph features and boosted trees end to end: profiles, propagation, entity vectors, training, evaluation."""
+    return checked(hybrid_scores(spark, d), "isFraud")
+
+
+def hybrid_scores(spark, d):
     from fraudlens.operators.clean import add_simple_device
 
     rows = split_txn(spark, d)
@@ -185,7 +230,7 @@ def m07_hybrid(spark, d):
     ready = settle(hybrid_features(full, ORDER).select("TransactionID", "isFraud", "split", "features"), "features")
     train = mo.regime_weights(ready.filter("split = 'train'"), "isFraud", "both")
     model = mo.train_gbt(train, PARAMS, "isFraud", weight="weight")
-    return checked(mo.score(model, ready.filter("split = 'test'")), "isFraud")
+    return mo.score(model, ready.filter("split = 'test'"))
 
 
 @query("x02_leave_one_out", """

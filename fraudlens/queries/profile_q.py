@@ -53,6 +53,20 @@ def a03_selection(spark, d):
     return p.median_profile(settle(b.txn(spark, d), "txn"), _MEDIAN, sample_cells=0)
 
 
+@query("a03_sketched_medians", " UNION ALL ".join(f"SELECT '{c}' AS column, count({c}) AS n, true AS within_bound FROM txn" for c in _MEDIAN))
+def a03_sketched(spark, d):
+    """Medians of all columns from one scan, and whether their ranks are within the stated error."""
+    rows = settle(b.txn(spark, d), "txn")
+    found = {r["column"]: r for r in p.sketched_medians(rows, _MEDIAN).collect()}  # one row a column
+    x = {c: F.col(c).cast("double") for c in _MEDIAN}
+    near = lambda c: (
+        (F.count_if(x[c] < found[c]["median"]) <= F.count(x[c]) * (0.5 + found[c]["rank_error"]))
+        & (F.count_if(x[c] <= found[c]["median"]) >= F.count(x[c]) * (0.5 - found[c]["rank_error"]))
+    )
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(found[c]["n"]).cast("long").alias("n"), F.col(c).alias("within_bound")) for c in _MEDIAN])
+    return rows.agg(*[near(c).alias(c) for c in _MEDIAN]).select(F.explode(cells).alias("r")).select("r.*")
+
+
 @query("a04_scaler_stats", " UNION ALL ".join(
     f"SELECT '{c}' AS column, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std FROM split WHERE split = 'train'"
     for c in ("TransactionAmt", "C1", "D1")))

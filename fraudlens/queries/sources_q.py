@@ -144,6 +144,75 @@ def s09(spark, d):
     )
 
 
+@query("s09_catalog_totals")
+def s09_totals(spark, d):
+    """Files, total size and rows of every written split."""
+    base = workspace(spark, "catalog")
+    write_named_splits(split_txn(spark, d), base, "xgb")
+    files = m.catalog(spark, base, exclude="_SUCCESS")
+    folder = F.regexp_extract("path", "/xgb/([^/.]+)", 1).alias("split")
+    return files.groupBy(folder).agg(F.count("*").alias("total_files"), F.sum("size_bytes").alias("total_bytes"), F.round(F.sum("size_mb"), 6).alias("total_size_mb"))
+
+
+@query("s11_append_day", """
+    WITH r AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_totalprice, CAST(o_custkey AS DOUBLE) AS cust, o_orderpriority, o_orderstatus FROM orders),
+         v AS (SELECT unnest(['o_totalprice', 'cust']) AS name, unnest([o_totalprice, cust]) AS x FROM r),
+         t AS (SELECT unnest(['o_orderpriority', 'o_orderstatus']) AS name, unnest([o_orderpriority, o_orderstatus]) AS x FROM r)
+    SELECT name AS "column", CAST(count(*) AS BIGINT) AS n, round(avg(x), 4) AS mean, round(stddev_pop(x), 3) AS std, max(x) AS largest,
+           CAST(NULL AS BIGINT) AS n_values, 0 AS unread, 1 AS read_again FROM v GROUP BY name
+    UNION ALL SELECT name, CAST(count(*) AS BIGINT), NULL, NULL, NULL, CAST(count(DISTINCT x) AS BIGINT), 0, 1 FROM t GROUP BY name""")
+def s11_append(spark, d):
+    """Statistics kept per month: all months but the last, then the last one appended. The second update reads it alone
+    (``read_again`` months) and leaves none stale (``unread``); merged states equal those of the whole table."""
+    from fraudlens.sources.incremental import TableStates
+
+    rows = b.table(spark, d, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_totalprice", F.col("o_custkey").cast("double").alias("cust"), "o_orderpriority", "o_orderstatus"
+    )
+    rows = settle(rows, "orders")
+    source = workspace(spark, "months")
+    last = rows.agg(F.max("month")).first()[0]
+    rows.filter(F.col("month") < last).write.partitionBy("month").parquet(source)
+    states = TableStates(spark, source, workspace(spark, "states"), "month", ["o_totalprice", "cust"], ["o_orderpriority", "o_orderstatus"])
+    states.update()
+    rows.filter(F.col("month") == last).write.mode("append").partitionBy("month").parquet(source)
+    again = states.update()
+    unread = states.stale()
+    none = lambda kind: F.lit(None).cast(kind)
+    numbers = states.moments().select(
+        "column", "n", F.round("mean", 4).alias("mean"), F.round("std", 3).alias("std"), "largest", none("long").alias("n_values")
+    )
+    texts = states.codes().groupBy("column").agg(F.sum("n").alias("n"), (F.max("code") + 1).alias("n_values"))
+    texts = texts.select("column", "n", none("double").alias("mean"), none("double").alias("std"), none("double").alias("largest"), "n_values")
+    return numbers.unionByName(texts).withColumns({"unread": F.lit(len(unread)), "read_again": F.lit(len(again))})
+
+
+@query("s15_scoring_pipeline", "SELECT count(*) AS n_rows, true AS equal_scores, true AS in_range FROM txn")
+def s15_pipeline(spark, d):
+    """Fitted preparation and trees as one pipeline model: written, loaded, applied to raw rows; equal scores."""
+    from pyspark.ml import PipelineModel
+
+    from fraudlens.operators.boosting import BoostParams, train_boosting
+    from fraudlens.operators.joins import merge_identity
+    from fraudlens.plans.preprocess import preprocess
+    from fraudlens.plans.saved import scoring_pipeline
+    from fraudlens.schema import FeatureSpec
+
+    raw = settle(merge_identity(b.txn(spark, d), b.idn(spark, d)), "raw")
+    spec = FeatureSpec(("ProductCD", "card4", "P_emaildomain"), ("TransactionAmt", "C1", "D1"))
+    done = preprocess(b.txn(spark, d), b.idn(spark, d), spec)
+    params = BoostParams(rounds=2, max_depth=2, learning_rate=0.3, max_bins=16)
+    trees = train_boosting(done.rows.filter("split = 'train'"), done.spec.features, params, "isFraud")
+    model, path = scoring_pipeline(done, trees), workspace(spark, "pipeline")
+    model.write().overwrite().save(path)
+    before = model.transform(raw).select("TransactionID", F.col("score").alias("before"))
+    after = PipelineModel.load(path).transform(raw).select("TransactionID", F.col("score").alias("after"))
+    both = before.join(after, "TransactionID")
+    return both.agg(
+        F.count("*").alias("n_rows"), F.bool_and(F.col("before") == F.col("after")).alias("equal_scores"), F.bool_and(F.col("after").between(0, 1)).alias("in_range")
+    )
+
+
 @query("s10_missing_outputs", """
     WITH required AS (SELECT DISTINCT strftime(o_orderdate, 'dt=%Y-%m-%d') AS path FROM orders),
          existing AS (SELECT DISTINCT strftime(l_shipdate, 'dt=%Y-%m-%d') AS path FROM lineitem)

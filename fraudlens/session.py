@@ -51,13 +51,16 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/fraudlens/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` once below the shared folder and read it back.
+def settle(df: DataFrame, label: str = "table", by: str | None = None) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it back; with ``by`` in folders of that column's values.
 
     This cuts lineage durably: a lost executor costs a re-read, not a recomputation, and every
     later pass prunes columns of the written table.
     """
     spark = df.sparkSession
     path = workspace(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
