@@ -168,34 +168,57 @@ def window_matches(
     return runs.withColumn("dice", dice).filter(F.col("dice") >= least).select(F.col("id").alias(id_col), "licence", "start", "length", "dice")
 
 
+def unit_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``(row, licence, spans)``: where the matched units of ``(row, text)`` begin and end among the words of the whole text."""
+    sizes = F.transform(F.split("text", "\n"), lambda line: F.size(words(line)))
+    sized = rows.join(found.select("row").distinct(), "row").select("row", sizes.alias("sizes"))
+    total = lambda upto: F.aggregate(F.slice("sizes", 1, upto), F.lit(0), lambda x, n: x + n)
+    whole = F.col("unit") < 0
+    start = F.when(whole, F.lit(0)).otherwise(total(F.greatest("unit", F.lit(0))))
+    end = F.when(whole, total(F.size("sizes"))).otherwise(total(F.greatest("unit", F.lit(0)) + 1))
+    spans = found.join(sized, "row").select("row", "licence", F.struct(start.alias("start"), end.alias("end")).alias("span"))
+    return spans.groupBy("row", "licence").agg(F.collect_set("span").alias("spans"))
+
+
 def licence_scan(
     docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text", texts: list[tuple[str, str]] = TEXTS
 ) -> DataFrame:
     """``(id, n_notices, licences, best_dice)`` for every row of ``docs``: matching units, their licences and the best coefficient.
 
-    Units are lines, whole texts and, for licences that a document has in none of these, runs of words that do
-    not overlap: wrapped, embedded and whole licences (``texts``). Null and empty texts have no units. Ids
-    name documents: rows with the same id, null too, share their matches. Other columns are not looked at.
-    No rows: no rows.
+    Units are lines; the whole text, which counts only where none of its lines matches; and runs of words
+    that overlap neither each other nor a unit with the same licence: wrapped, embedded and whole
+    licences (``texts``). Null and empty texts have no units. Every row is a document of its own, whatever
+    its id: ids may be null, repeated and of any type. Other columns are not looked at. No rows: no rows.
     """
-    found = settle(licence_matches(docs, templates, least, id_col, text_col).withColumnRenamed(id_col, "id"), "units")
-    runs = window_matches(docs, templates + texts, least, id_col, text_col).withColumnRenamed(id_col, "id")
-    named = found.select(F.col("id").alias("i"), F.col("licence").alias("l")).distinct()
-    runs = runs.join(named, F.col("id").eqNullSafe(F.col("i")) & (F.col("licence") == F.col("l")), "left_anti")
-    by = runs.groupBy("id").agg(
-        F.sort_array(F.collect_set(F.struct((F.col("start") + F.col("length")).alias("end"), "start"))).alias("runs"),
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = settle(rows, "texts")
+    found = settle(licence_matches(rows, templates, least, "row"), "units")
+    runs = settle(window_matches(rows, templates + texts, least, "row"), "runs")
+    last = found.groupBy("row").agg(F.max("unit").alias("last"))  # -1: only the whole text matches
+    taken = settle(unit_spans(rows, found.join(last, "row").filter("unit >= 0 OR last < 0")), "taken")
+    overlaps = F.exists("spans", lambda s: (s["start"] < F.col("start") + F.col("length")) & (s["end"] > F.col("start")))
+    runs = runs.join(taken, ["row", "licence"], "left").filter(F.col("spans").isNull() | ~overlaps)
+    place = (F.col("start").cast("long").alias("start"), (F.col("start") + F.col("length")).cast("long").alias("end"))
+    by = runs.groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct((-F.col("dice")).alias("d"), (-F.col("length")).alias("l"), *place))).alias("runs"),
         F.collect_set("licence").alias("licences"), F.max("dice").alias("best_dice"),
     )
-    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
-    apart = F.aggregate("runs", zero, lambda x, r: F.when(r["start"] >= x["end"], F.struct(r["end"].alias("end"), (x["n"] + 1).alias("n"))).otherwise(x), lambda x: x["n"])
-    lines = found.groupBy("id").agg(F.count_distinct("unit").alias("n"), F.collect_set("licence").alias("licences"), F.max("dice").alias("best_dice"))
-    both = lines.unionAll(by.select("id", apart.cast("long").alias("n"), "licences", "best_dice"))
-    each = both.groupBy("id").agg(
+
+    def free(taken: Column, run: Column) -> Column:
+        return ~F.exists(taken, lambda t: (t["start"] < run["end"]) & (t["end"] > run["start"]))
+
+    # the best run first, then those that overlap none taken before
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    taken_runs = F.aggregate("runs", none, lambda t, r: F.when(free(t, r), F.concat(t, F.array(F.struct(r["start"].alias("start"), r["end"].alias("end"))))).otherwise(t))
+    apart = F.size(taken_runs)
+    lines = F.count_distinct(F.when(F.col("unit") >= 0, F.col("unit")))
+    units = found.groupBy("row").agg(F.greatest(lines, F.lit(1)).alias("n"), F.collect_set("licence").alias("licences"), F.max("dice").alias("best_dice"))
+    both = units.unionAll(by.select("row", apart.cast("long").alias("n"), "licences", "best_dice"))
+    each = both.groupBy("row").agg(
         F.sum("n").alias("n_notices"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("licences")))).alias("licences"), F.max("best_dice").alias("best_dice")
     )
-    ids = docs.select(F.col(id_col).alias("doc"))
-    return ids.join(each, F.col("doc").eqNullSafe(F.col("id")), "left").select(
-        F.col("doc").alias(id_col),
+    return rows.select("id", "row").join(each, "row", "left").select(
+        F.col("id").alias(id_col),
         F.coalesce("n_notices", F.lit(0)).alias("n_notices"),
         F.coalesce("licences", F.array().cast("array<string>")).alias("licences"),
         F.coalesce("best_dice", F.lit(0.0)).alias("best_dice"),

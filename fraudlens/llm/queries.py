@@ -208,7 +208,7 @@ hits AS (
   SELECT doc_id, unit, template, licence, 2.0::DOUBLE * count(*) / (a + b) AS dice
   FROM ur JOIN tb USING (bigram) GROUP BY doc_id, unit, a, template, licence, b),
 found AS (
-  SELECT doc_id, count(DISTINCT unit) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS l, max(dice) AS d
+  SELECT doc_id, greatest(count(DISTINCT unit) FILTER (unit >= 0), 1) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS l, max(dice) AS d
   FROM hits WHERE dice >= 0.8 GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_notices, coalesce(l, '') AS licences, coalesce(d, 0.0::DOUBLE) AS best_dice
 FROM documents LEFT JOIN found USING (doc_id)"""

@@ -124,8 +124,8 @@ def vector_groups(
     Rows of one label link at a cosine of ``least`` or more. Null, empty and zero vectors, vectors with
     null or non-finite components, vectors of other lengths and rows without a label link with nothing.
     Equal vectors are compared once and count as often as they occur. Only links that connect leave a
-    task. A null id is the smallest; rows with the same id are different vectors; other columns are not
-    looked at. No rows: no rows.
+    task. Ids are integers; a null id is the smallest; rows with the same id, or without one, are different
+    vectors; other columns are not looked at. No rows: no rows.
     """
     ship(vectors.sparkSession)
     value = F.col(vector_col)
@@ -139,14 +139,15 @@ def vector_groups(
         F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))).alias("id"), F.col(label_col).alias("label"), value.alias("vector"), sound.alias("sound")
     )
     good = rows.filter("sound").select("id", "label", "vector")
-    distinct = settle(
-        good.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("dim", F.size("vector")), "distinct"
-    )
-    found = settle(vector_links(distinct, least), "found")
+    distinct = good.groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    distinct = settle(distinct.withColumn("dim", F.size("vector")).withColumn("id", F.monotonically_increasing_id()), "distinct")  # a number of its own
+    found = settle(vector_links(distinct.drop("least"), least), "found")
     links = found.filter("u = v").groupBy(F.col("u").alias("id")).agg(F.sum("links").alias("links"))
-    groups = components(found.filter("u <> v")).withColumnRenamed("node", "id")
+    groups = settle(components(found.filter("u <> v")).withColumnRenamed("node", "id").join(distinct.select("id", "least"), "id"), "groups")
+    first = groups.groupBy("component").agg(F.min("least").alias("first"))
+    groups = groups.join(first, "component").select("id", "first")
     named = distinct.join(links, "id", "left").join(groups, "id", "left").select(
-        "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
+        "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("first", "least").alias("component_id")
     )
     done = good.join(named.hint("merge"), ["label", "vector"]).select("id", "n_links", "component_id")
     alone = rows.filter("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
