@@ -50,13 +50,20 @@ def distinct_entities(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def _with_entity(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its keys once more as profiles name them, so that the caller's columns stay as they are."""
+    names = [f"_entity{i}" for i in range(len(keys))]
+    return named_entities(df.withColumns({n: F.col(k) for n, k in zip(names, keys)}), names), names
+
+
 def attach_stats(nodes: DataFrame, stats: DataFrame, keys: Sequence[str], default: float | None = 0.0, **tuning) -> DataFrame:
     """Add an entity's statistics to its rows; an unseen entity gets ``default`` (None keeps null).
 
-    Keys are named as in the profile, so a missing one finds the profile of the missing one.
+    A missing key finds the profile of the missing one.
     """
     new = [c for c in stats.columns if c not in keys]
-    joined = lookup(named_entities(nodes, keys), stats, keys, "left", null_safe=True, **tuning)
+    named, names = _with_entity(nodes, keys)
+    joined = lookup(named, stats.withColumnsRenamed(dict(zip(keys, names))), names, "left", null_safe=True, **tuning).drop(*names)
     return joined if default is None else joined.na.fill(default, subset=new)
 
 
@@ -65,11 +72,11 @@ def leave_one_out(train: DataFrame, keys: Sequence[str], label: str = "isFraud",
 
     A training row's own label is not part of its feature. One aggregation and one lookup.
     """
-    named = named_entities(train, keys)
-    totals = named.groupBy(*keys).agg(F.sum(F.col(label).cast("long")).alias("_s"), F.count(label).alias("_n"))
+    named, names = _with_entity(train, keys)
+    totals = named.groupBy(*names).agg(F.sum(F.col(label).cast("long")).alias("_s"), F.count(label).alias("_n"))
     own = F.coalesce(F.col(label).cast("long"), F.lit(0))
     others = F.col("_n") - F.col(label).isNotNull().cast("long")
-    joined = lookup(named, totals, keys, "left", null_safe=True, **tuning)
+    joined = lookup(named, totals, names, "left", null_safe=True, **tuning)
     return joined.select(*train.columns, F.coalesce(F.try_divide(F.col("_s") - own, others), F.lit(default)).alias(name))
 
 
@@ -81,10 +88,11 @@ def time_causal(
     ``order`` ends in a unique column. One range sort by entity and time gives running sums over the whole
     table, and an entity's sums are those since its first row: a busy entity is cut over many tasks.
     """
-    named = named_entities(rows, keys).withColumn("_y", F.coalesce(F.col(label).cast("long"), F.lit(0).cast("long")))
+    named, names = _with_entity(rows, keys)
+    named = named.withColumn("_y", F.coalesce(F.col(label).cast("long"), F.lit(0).cast("long")))
     named = named.withColumn("_one", F.col(label).isNotNull().cast("long"))
-    ahead, _ = running(named, [*keys, *order], {"_s": ("sum", "_y"), "_n": ("sum", "_one")}, inclusive=False)
-    starts = ahead.groupBy(*keys).agg(F.min("_s").alias("_s0"), F.min("_n").alias("_n0"))
-    joined = lookup(ahead, starts, keys, "left", null_safe=True, **tuning)
+    ahead, _ = running(named, [*names, *order], {"_s": ("sum", "_y"), "_n": ("sum", "_one")}, inclusive=False)
+    starts = ahead.groupBy(*names).agg(F.min("_s").alias("_s0"), F.min("_n").alias("_n0"))
+    joined = lookup(ahead, starts, names, "left", null_safe=True, **tuning)
     rate = F.try_divide(F.col("_s") - F.col("_s0"), F.col("_n") - F.col("_n0"))
     return joined.select(*rows.columns, F.coalesce(rate, F.lit(default)).alias(name))
