@@ -9,7 +9,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from fraudlens.operators.boosting import BoostedTrees, BoostParams, train_boosting
-from fraudlens.operators.entity import entity_stats
 from fraudlens.operators.graph import build_edges_card_email, build_test_graph, txn_features
 from fraudlens.operators.joins import attach_embedding, filter_unseen
 from fraudlens.operators.metrics import average_precision, evaluate
@@ -20,7 +19,7 @@ from fraudlens.plans import train_job
 from fraudlens.plans.preprocess import preprocess
 from fraudlens.plans.saved import Preparation, scoring_pipeline
 from fraudlens.plans.training import hybrid_features
-from fraudlens.queries import base
+from fraudlens.queries import base, model_q, sources_q  # noqa: F401
 from fraudlens.schema import FeatureSpec
 from fraudlens.session import settle, workspace
 from fraudlens.sources.incremental import TableStates, partition_marks
@@ -167,7 +166,7 @@ def test_missing_keys(spark, tuning):
     assert kept.count() == 4 and tuple(report.first()) == (4, 4, 0)
     seen = cards.filter("card1 IS NOT NULL")
     assert [r["row_id"] for r in filter_unseen(tx, {"card1": seen}, **tuning)[0].orderBy("row_id").collect()] == [1, 2]
-    numbered, test_edges, _ = build_test_graph(tx, cards, emails, ["TransactionDT"], **tuning)
+    numbered, test_edges, _ = build_test_graph(tx.drop("row_id"), cards, emails, ["TransactionDT"], **tuning)
     assert numbered.count() == 4 and test_edges.count() == 16
     emb = spark.createDataFrame([(5, "a", [1.0, 2.0]), (None, "a", [3.0, 4.0]), (5, None, [5.0, 6.0])], "card1 int, P_emaildomain string, emb array<double>")
     got = attach_embedding(tx, emb, ["card1", "P_emaildomain"], "emb", 2, **tuning).orderBy("row_id").collect()
