@@ -195,7 +195,8 @@ def licence_scan(
     found = settle(licence_matches(rows, templates, least, "row"), "units")
     runs = settle(window_matches(rows, templates + texts, least, "row"), "runs")
     last = found.groupBy("row").agg(F.max("unit").alias("last"))  # -1: only the whole text matches
-    taken = settle(unit_spans(rows, found.join(last, "row").filter("unit >= 0 OR last < 0")), "taken")
+    sure = settle(found.join(last, "row").filter("unit >= 0 OR last < 0"), "sure")  # written, so that its size is known to the join with the texts
+    taken = settle(unit_spans(rows, sure), "taken")
     overlaps = F.exists("spans", lambda s: (s["start"] < F.col("start") + F.col("length")) & (s["end"] > F.col("start")))
     runs = runs.join(taken, ["row", "licence"], "left").filter(F.col("spans").isNull() | ~overlaps)
     place = (F.col("start").cast("long").alias("start"), (F.col("start") + F.col("length")).cast("long").alias("end"))

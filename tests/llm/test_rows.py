@@ -4,7 +4,6 @@ import random
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
