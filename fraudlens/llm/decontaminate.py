@@ -121,16 +121,19 @@ def contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
+    numbered: bool = False,
 ) -> DataFrame:
     """``(id, n_words, hit_words, items)`` for every row of ``docs``: its words, how many of them lie inside
     an occurrence of an item's window, and the sorted ids (as text) of the items whose windows occur.
 
     Null and empty texts and items have no words. Every row is a document of its own, whatever its id:
     ids may be null, repeated and of any type; other columns are not looked at. Empty tables give no rows,
-    or no hits. Texts are split once; what is written for later passes are their words.
+    or no hits. Texts are split once; what is written for later passes are their words. ``numbered`` says
+    that ``docs`` is a written table whose ids number its rows: then nothing is written, and each pass splits texts.
     """
-    found = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.col(text_col)).alias("w"))
-    found = settle(found, "words")
+    found = docs.select(F.col(id_col).alias("id"), (F.col(id_col) if numbered else F.monotonically_increasing_id()).alias("row"), words(F.col(text_col)).alias("w"))
+    if not numbered:
+        found = settle(found, "words")
     windows = settle(item_windows(items, window, item_id, item_text), "windows")
     hits = settle(passage_hits(found, windows.select("passage", "n").distinct(), broadcast_bytes).distinct(), "hits")
     spans = F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end"))))
