@@ -25,6 +25,8 @@ from fraudlens.session import settle, workspace
 # The balancing regimes that are compared.
 REGIMES = ("none", "sample", "pos", "both")
 
+CELLS = 8_000_000  # feature values of training rows in one partition; a learner keeps and reads whole partitions
+
 
 @dataclass(frozen=True)
 class TreeParams:
@@ -86,6 +88,17 @@ def regime_weights(df: DataFrame, label: str, regime: str, name: str = "weight")
     return df.withColumn(name, weight)
 
 
+def spread(rows: DataFrame, features: str = "features") -> DataFrame:
+    """The rows in enough partitions to hold ``CELLS`` feature values each, as they come if they are so already.
+
+    Written files pack well, so a few of their splits may hold all rows; a learner keeps the rows unpacked and
+    reads them again for every level of every tree.
+    """
+    some = rows.select(features).first()
+    parts = -(-rows.count() * some[0].size // CELLS) if some else 0
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def train_gbt(
     df: DataFrame, params: TreeParams, label: str = "label", features: str = "features", weight: str | None = None
 ) -> GBTClassificationModel:
@@ -105,10 +118,10 @@ def train_gbt(
         maxBins=params.max_bins,
         seed=params.seed,
     )
-    rows = df.withColumn("_label", F.col(label).cast("double"))
+    rows = df.select(F.col(label).cast("double").alias("_label"), features, *([weight] if weight else []))
     if weight:
         learner = learner.setWeightCol(weight)
-    return learner.fit(rows)
+    return learner.fit(spread(rows, features))
 
 
 def score(model: Transformer, df: DataFrame, name: str = "score") -> DataFrame:

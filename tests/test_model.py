@@ -107,3 +107,20 @@ def test_missing_flags(spark):
     assert [list(r.features.toArray()) for r in out.orderBy("id").collect()] == [[1.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
     vals = out.schema["features"].metadata["ml_attr"]["attrs"]
     assert vals["nominal"][0]["name"] == "c_code"
+
+
+def test_learner_reads_bounded_partitions(rows, monkeypatch):
+    """Rows that lie in one written file are dealt out before a learner keeps them; none is lost."""
+    ready, _ = mo.assemble(rows, FeatureSpec(("c",), ("a", "b"), label="label", key="id"))
+    ready = settle(ready.coalesce(1))
+    seen = {}
+
+    def fit(self, df):
+        parts = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        seen.update(most=max(r["count"] for r in parts), total=sum(r["count"] for r in parts), ones=df.agg(F.sum("_label")).first()[0])
+
+    monkeypatch.setattr(mo.GBTClassifier, "fit", fit)
+    monkeypatch.setattr(mo, "CELLS", 300, raising=False)
+    mo.train_gbt(ready, PARAMS, "label")
+    assert seen["total"] == 1200 and seen["ones"] == ready.agg(F.sum("label")).first()[0]
+    assert seen["most"] <= 200  # 100 on average
