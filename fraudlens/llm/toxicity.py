@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +21,8 @@ TOXIC_ROWS, CLEAN_ROWS = 2_000, 4_000  # bound of the training sample
 TRAIN_BYTES = 64_000  # longer texts are not trained on
 CACHED = 100_000  # word scores in each of the two generations of a worker's cache
 CHUNK = 2 << 20
+LEARNT = 4_000  # words whose n-grams are found at once
+BLOCK = 1 << 18  # words or n-grams that a training step looks at together
 RATES = (5.0, 0.1, 0.1)  # step lengths of vectors, softmax rows and biases
 EMPTY = 0.05  # weight of an empty clean text beside the training texts
 
@@ -89,22 +92,74 @@ def segments(words: list[str]) -> Iterator[tuple[list[str], int]]:
 
 
 class Cut:
-    """Segments of many texts: all their words in a row, where each segment begins, its length and its text."""
+    """Segments of many texts: their different words, the numbers of all their words in a row, where each segment
+    begins, its length and its text. No word is held twice."""
 
-    def __init__(self, texts: list[str]):
-        self.words: list[str] = []
-        starts, lengths, of = [], [], []
+    def __init__(self, texts: Iterable[str]):
+        self.number: dict[str, int] = {}
+        number, every = self.number, array("i")
+        starts, lengths, of = array("q"), array("q"), array("q")
         for i, text in enumerate(texts):
             for part, length in segments(words_of(text)):
-                starts.append(len(self.words))
+                starts.append(len(every))
                 lengths.append(length)
                 of.append(i)
-                self.words += part
+                every.extend([number.setdefault(w, len(number)) for w in part])
+        self.word = np.array(every, np.int32)
         self.starts, self.lengths, self.text = (np.array(x, np.int64) for x in (starts, lengths, of))
+        self.ends = np.append(self.starts, len(self.word))[1:]
         self.first = np.flatnonzero(run_starts(self.text))
 
     def means(self, each: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(each, self.starts) / self.lengths
+        """Average of each segment, where the different words have the values ``each``."""
+        sums = [np.zeros(0)] + [np.add.reduceat(each[self.word[self.starts[a]:self.ends[b - 1]]], self.starts[a:b] - self.starts[a]) for a, b in blocks(self.ends)]
+        return np.concatenate(sums) / self.lengths
+
+    def on_words(self, chosen: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Sum of the ``share`` of the ``chosen`` segments (in order) over each different word in them."""
+        found = np.zeros(len(self.number))
+        size = (self.ends - self.starts)[chosen]
+        for a, b in blocks(np.cumsum(size)):
+            n = size[a:b]
+            at = np.arange(n.sum()) + np.repeat(self.starts[chosen[a:b]] - (np.cumsum(n) - n), n)
+            np.add.at(found, self.word[at].astype(np.intp), np.repeat(share[a:b], n))
+        return found
+
+
+class Grams:
+    """Slots of the n-grams of words, found and added up in blocks, so that what is held beside them stays small."""
+
+    def __init__(self, words: list[str]):
+        slots, counts = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(words), LEARNT):
+            slot, begin = subwords(words[lo:lo + LEARNT])
+            slots.append(slot.astype(np.uint16))  # there are SLOTS of them
+            counts.append(np.diff(np.append(begin, len(slot))))
+        self.slot, self.counts = np.concatenate(slots), np.concatenate(counts)
+        self.ends = np.cumsum(self.counts)
+        self.starts = self.ends - self.counts
+
+    def means(self, slopes: np.ndarray) -> np.ndarray:
+        """Average over each word's n-grams, where the slots have the values ``slopes``."""
+        sums = [np.zeros(0)] + [np.add.reduceat(slopes[self.slot[self.starts[a]:self.ends[b - 1]]], self.starts[a:b] - self.starts[a]) for a, b in blocks(self.ends)]
+        return np.concatenate(sums) / self.counts
+
+    def on_slots(self, on_word: np.ndarray) -> np.ndarray:
+        """What falls on each slot, if that on a word is divided among its n-grams."""
+        found, each = np.zeros(SLOTS), on_word / self.counts
+        for a, b in blocks(self.ends):
+            np.add.at(found, self.slot[self.starts[a]:self.ends[b - 1]].astype(np.intp), np.repeat(each[a:b], self.counts[a:b]))
+        return found
+
+
+def blocks(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of parts, whose ends are ``ends``, of ``BLOCK`` places or one part each."""
+    at = 0
+    while at < len(ends):
+        done = int(ends[at - 1]) if at else 0
+        to = max(int(np.searchsorted(ends, done + BLOCK, side="right")), at + 1)
+        yield at, to
+        at = to
 
 
 class _Descent:
@@ -123,7 +178,7 @@ class _Descent:
         self.value -= self.rate / (1 - 0.9**self.t) / size * self.mean
 
 
-def train(texts: list[str], labels: np.ndarray, warm: int = 10, steps: int = 110, seed: int = 7) -> Model:
+def train(texts: Iterable[str], labels: np.ndarray, warm: int = 10, steps: int = 110, seed: int = 7) -> Model:
     """Fit vectors and softmax together, full batch, on segments of texts.
 
     First every segment has its text's label. Then each text is judged by its most toxic segment, the
@@ -139,18 +194,12 @@ def train(texts: list[str], labels: np.ndarray, warm: int = 10, steps: int = 110
         share = min(max(share, 0.01), 0.99)
         return Model(vectors * 0, rows * 0, np.log(np.array([1 - share, share], np.float32)))
     cut = Cut(texts)
-    number: dict[str, int] = {}
-    word = np.array([number.setdefault(w, len(number)) for w in cut.words], np.int64)
-    slot, begin = subwords(list(number))
-    grams = np.diff(np.append(begin, len(slot)))
-    of_word = np.repeat(np.arange(len(grams)), grams)
-    size = np.diff(np.append(cut.starts, len(word)))
+    grams = Grams(list(cut.number))
     bias = np.zeros(2, np.float32)
     fit = [_Descent(value, rate) for value, rate in zip((vectors, rows, bias), RATES)]
     for step in range(warm + steps):
         difference = rows[1] - rows[0]
-        each = np.add.reduceat((vectors @ difference)[slot], begin) / grams
-        logit = cut.means(each[word]) + (bias[1] - bias[0])
+        logit = cut.means(grams.means(vectors @ difference)) + (bias[1] - bias[0])
         if step < warm:
             chosen = np.arange(len(logit))
         else:  # the most toxic segment of each text
@@ -162,10 +211,7 @@ def train(texts: list[str], labels: np.ndarray, warm: int = 10, steps: int = 110
             weight = weight * np.where(own, np.minimum(1, 2 * sure), 1)
         error = weight * (sure - own)
         nothing = EMPTY / (1 + np.exp(bias[0] - bias[1]))  # a text without words is clean
-        share = np.zeros(len(logit))
-        share[chosen] = error / cut.lengths[chosen]
-        on_word = np.bincount(word, np.repeat(share, size), minlength=len(grams))
-        on_slot = np.bincount(slot, (on_word / grams)[of_word], minlength=SLOTS).astype(np.float32)
+        on_slot = grams.on_slots(cut.on_words(chosen, error / cut.lengths[chosen])).astype(np.float32)
         pull = on_slot @ vectors
         fit[0].step(np.outer(on_slot, difference))
         fit[1].step(np.stack([-pull, pull]))
@@ -185,8 +231,8 @@ class Scorer:
         for w in words & self.old.keys():
             self.young[w] = self.old[w]
         fresh = list(words - self.young.keys())
-        for lo in range(0, len(fresh), 50_000):
-            part = fresh[lo:lo + 50_000]
+        for lo in range(0, len(fresh), LEARNT):
+            part = fresh[lo:lo + LEARNT]
             slot, begin = subwords(part)
             sums = np.add.reduceat(self.slopes[slot], begin) / np.diff(np.append(begin, len(slot)))
             self.young.update(zip(part, sums.tolist()))
@@ -196,10 +242,10 @@ class Scorer:
         cut = Cut(texts)
         if len(self.young) > CACHED:
             self.old, self.young = self.young, {}
-        self._learn({w for w in cut.words if w not in self.young})
+        self._learn({w for w in cut.number if w not in self.young})
         logit = np.full(len(texts), self.offset)
-        if cut.words:
-            mean = cut.means(np.array(list(map(self.young.__getitem__, cut.words))))
+        if cut.number:
+            mean = cut.means(np.array(list(map(self.young.__getitem__, cut.number))))
             logit[cut.text[cut.first]] += np.maximum.reduceat(mean, cut.first)
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
@@ -228,8 +274,8 @@ def train_toxicity(
 
     def fit(group: pa.Table) -> pa.Table:
         order = np.argsort(group.column("id").to_numpy(), kind="stable")
-        texts, labels = group.column("text").to_pylist(), group.column("label").to_numpy()
-        model = train([texts[i] or "" for i in order], labels[order])
+        texts, labels = group.column("text"), group.column("label").to_numpy()
+        model = train((texts[int(i)].as_py() or "" for i in order), labels[order])  # one text at a time
         return pa.table([pa.array([model.pack()], pa.binary())], names=["model"])
 
     # of rows with one id, one text: ids that repeat cannot make the sample larger
@@ -259,7 +305,8 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", keep:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(Model.unpack(shared.value))
         for batch in batches:
-            found = [score([t or "" for t in part]) for part in in_chunks(iter(batch.column(len(names)).to_pylist()), lambda t: len(t or ""), CHUNK)]
+            texts = (t.as_py() or "" for t in batch.column(len(names)))  # not all of a batch at once
+            found = [score(part) for part in in_chunks(texts, len, CHUNK)]
             values = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], [*batch.schema.names[:-1], "score"])
 
