@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm.common import in_chunks, ship
 
-CHUNK = 4 << 20  # characters of text that a task holds at once
-CACHED = 150_000  # pieces in each of the two generations of a worker's cache
+CHUNK = 1 << 20  # characters of text that a task holds at once
+CACHED = 200_000  # pieces in each of the two generations of a worker's cache
 CACHED_LENGTH = 48
 LONG = 1 << 20  # beyond so many characters a text is split lazily
 
@@ -32,6 +33,23 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+# What classes of the pattern mean in ASCII text, inside and outside of brackets
+_ASCII = {r"\p{L}": ("A-Za-z", "[A-Za-z]"), r"\p{N}": ("0-9", "[0-9]"), r"\s": (r"\t-\r ", r"[\t-\r ]"), r"\S": (None, r"[^\t-\r ]")}
+
+
+def ascii_splitter(pattern: str) -> re.Pattern | None:
+    """The same pattern for ASCII texts, which the plain module matches faster; None if it has other classes."""
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((n for n in _ASCII if pattern.startswith(n, at)), pattern[at])
+        if name == "\\" or name in _ASCII and inside and _ASCII[name][0] is None or pattern.startswith(("(?i", "++", "*+", "?+"), at):
+            return None
+        out.append(_ASCII[name][not inside] if name in _ASCII else name)
+        inside = name == "[" or inside and name != "]"
+        at += len(name)
+    return re.compile("".join(out))
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; ranks are ids and give the order of merges."""
 
@@ -44,7 +62,9 @@ class Codec:
         self.whole = {halves: rank for rank, halves in self.halves.items() if halves}
         self.shorter = {r: next((self.made[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.made), None) for t, r in self.made.items()}
         self.size = {rank: len(token) for token, rank in ranks.items()}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.most = max(map(len, self.made), default=0)
+        self.base = max(ranks.values(), default=0) + 1
+        self.fits: dict[int, int | None] = {}  # what ``behind`` found, by left * base + token
         self.finder = ahocorasick.Automaton()
         for token, rank in self.made.items():
             self.finder.add_word(token.decode("latin-1"), rank)
@@ -61,17 +81,28 @@ class Codec:
         return (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
 
     def compatible(self, left: int, right: int) -> bool:
-        """Whether merges leave a border between these two tokens: undo merges at the border, latest
-        first, and see whether an earlier merge would have crossed it."""
-        known = self.fits.get((left, right))
-        if known is None:
-            known = self._border_stays(left, right)
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            self.fits[left, right] = known
-        return known
+        """Whether merges leave a border between these two tokens."""
+        return self.behind(left, right) == right
+
+    def behind(self, left: int, token: int) -> int | None:
+        """The longest token that begins ``token``, itself included, and may stand behind ``left``; memoised."""
+        tried, found = [], token
+        while found is not None:
+            border = left * self.base + found
+            if border in self.fits:
+                found = self.fits[border]
+                break
+            tried.append(border)
+            if self._border_stays(left, found):
+                break
+            found = self.shorter[found]
+        if len(self.fits) > 1_000_000:
+            self.fits.clear()
+        self.fits.update(dict.fromkeys(tried, found))
+        return found
 
     def _border_stays(self, left: int, right: int) -> bool:
+        """Undo merges at the border, latest first, and see whether an earlier merge would have crossed it."""
         halves, before = self.halves, len(self.ranks) + 1
         undo_left, undo_right = halves[left], halves[right]
         while True:
@@ -92,60 +123,72 @@ class Codec:
         """Ids of one pre-token, as repeated merging of the lowest-ranked adjacent pair gives them."""
         if piece in self.ranks:
             return [self.ranks[piece]]
-        text, ids, fits, before = piece.decode("latin-1"), [], self.fits, None
-        for _, token in self.finder.iter_long(text):  # longest matches, one after the other
-            if before is not None and not (fits.get((before, token)) or self.compatible(before, token)):
-                break
+        text, ids, fits, base, before = piece.decode("latin-1"), [], self.fits, self.base, None
+        for end, token in self.finder.iter_long(text):  # longest matches, one after the other
+            if before is not None:
+                border = before * base + token
+                if (fits[border] if border in fits else self.behind(before, token)) != token:
+                    return self._backtrack(text, ids, end + 1 - self.size[token], token)
             ids.append(token)
             before = token
-        else:
-            return ids
-        return self._backtrack(text, ids)
-
-    def _backtrack(self, text: str, ids: list[int]) -> list[int]:
-        """Go on behind ``ids`` where the longest match does not fit."""
-        size, shorter = self.size, self.shorter
-        longest: list[int | None] = [None] * len(text)
-        for end, token in self.finder.iter(text):
-            start = end - size[token] + 1
-            if longest[start] is None or size[token] > size[longest[start]]:
-                longest[start] = token
-        at = sum(size[t] for t in ids)
-        dead, token = bytearray(len(text) + 1), longest[at]
-        while at < len(text):
+        return ids
+
+    def _longest(self, text: str, at: int) -> int | None:
+        """The longest token that begins at this place, found by walking down the automaton's trie."""
+        ahead = text[at:at + self.most]
+        find = self.finder.get
+        for n in range(self.finder.longest_prefix(ahead), 0, -1):
+            token = find(ahead[:n], None)
+            if token is not None:
+                return token
+        return None
+
+    def _backtrack(self, text: str, ids: list[int], at: int, token: int | None) -> list[int]:
+        """Go on behind ``ids``, where the longest match ``token`` does not fit. Only places that are come to are
+        looked at."""
+        size, shorter, fits, base, stop = self.size, self.shorter, self.fits, self.base, len(text)
+        dead: set[int] = set()
+        while True:
             while token is not None:
-                end = at + size[token]
-                if not dead[end] and (not ids or self.compatible(ids[-1], token)):
+                if ids:
+                    border = ids[-1] * base + token
+                    token = fits[border] if border in fits else self.behind(ids[-1], token)
+                    if token is None:
+                        break
+                if at + size[token] not in dead:
                     break
                 token = shorter[token]
             if token is None:  # no way on from here: give up the last token for a shorter one
-                dead[at] = 1
+                dead.add(at)
                 last = ids.pop()
                 at -= size[last]
                 token = shorter[last]
             else:
                 ids.append(token)
-                at = end
-                token = longest[at] if at < len(text) else None
-        return ids
+                at += size[token]
+                if at >= stop:
+                    return ids
+                token = self._longest(text, at)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_packed(self, ids: bytes) -> bytes:
+        return self.decode(np.frombuffer(ids, np.int32).tolist())
+
 
 class Encoder:
-    """A codec with a bounded cache of pieces: ids as packed integers, and the bytes they decode to."""
+    """A codec with a bounded cache of the packed ids of pieces."""
 
     def __init__(self, codec: Codec, pattern: str):
-        self.codec, self.split = codec, splitter(pattern)
-        self.young: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.codec, self.split, self.plain = codec, splitter(pattern), ascii_splitter(pattern)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _miss(self, piece: str) -> tuple[bytes, bytes]:
+    def _miss(self, piece: str) -> bytes:
         made = self.old.get(piece)
         if made is None:
-            ids = self.codec.encode_piece(piece.encode())
-            made = array("i", ids).tobytes(), self.codec.decode(ids)
+            made = array("i", self.codec.encode_piece(piece.encode())).tobytes()
         if len(piece) <= CACHED_LENGTH:
             if len(self.young) >= CACHED:
                 self.old, self.young = self.young, {}
@@ -154,22 +197,24 @@ class Encoder:
 
     def __call__(self, text: str) -> tuple[bytes, bytes]:
         """Packed ids of a text, and the bytes that they decode to."""
+        split = self.plain if self.plain is not None and text.isascii() else self.split
         if len(text) <= LONG:
-            made = self._look_up(self.split.findall(text))
-            return b"".join([m[0] for m in made]), b"".join([m[1] for m in made])
+            ids = b"".join(self._look_up(split.findall(text)))
+            return ids, self.codec.decode_packed(ids)
         ids, decoded = bytearray(), bytearray()
-        found = (m.group() for m in self.split.finditer(text))
+        found = (m.group() for m in split.finditer(text))
         while part := list(islice(found, 100_000)):
-            for a, b in self._look_up(part):
-                ids += a
-                decoded += b
+            packed = b"".join(self._look_up(part))
+            ids += packed
+            decoded += self.codec.decode_packed(packed)
         return bytes(ids), bytes(decoded)
 
-    def _look_up(self, found: list[str]) -> list[tuple[bytes, bytes]]:
+    def _look_up(self, found: list[str]) -> list[bytes]:
         made = list(map(self.young.get, found))
-        if None in made:
-            miss, young = self._miss, self.young
-            made = [m or young.get(p) or miss(p) for m, p in zip(made, found)]
+        at = -1
+        for _ in range(made.count(None)):
+            at = made.index(None, at + 1)
+            made[at] = self.young.get(found[at]) or self._miss(found[at])
         return made
 
 

@@ -1,15 +1,19 @@
 """Licence runs against every window, vectors without ids, toxicity on held-out rows."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from fraudlens.llm import queries
+from fraudlens.llm.bytebpe import Codec, Encoder, ascii_splitter, read_ranks, splitter
 from fraudlens.llm.licence_texts import TEXTS
 from fraudlens.llm.licences import licence_scan, window_matches
+from fraudlens.llm.toxicity import train
 from fraudlens.llm.vectors import vector_groups
 
 
@@ -115,3 +119,60 @@ def test_still_equals_sql(spark, name):
     sf = "/root/testdata/sf0.01"
     found = differences(connect(sf), spark, sf, queries.QUERIES[name], queries.ORACLES[name])
     assert found == "" or found.startswith("(equal)"), found
+
+
+def test_training_holds_little_beside_the_texts():
+    """Texts are taken one at a time, words and n-grams are held as numbers: memory stays a few times the text."""
+    words = ["".join(random.Random(i).choices("abcdefghij", k=4)) + str(i) for i in range(3000)]
+    draw = random.Random(1)
+    texts = [" ".join(draw.choices(words, k=5000)) for _ in range(60)]
+    tracemalloc.start()
+    try:
+        model = train(iter(texts), np.array([1, 0] * 30), warm=2, steps=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12 * sum(map(len, texts)) and np.isfinite(model.vectors).all()
+
+
+def test_training_without_words():
+    assert np.isfinite(train(["", "--"], np.array([1, 0]), warm=1, steps=1).bias).all()
+
+
+def test_backtracking_remembers_what_fits():
+    """A border that was judged before gives the longest token that fits at once, not by trying shorter ones again."""
+
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, key):
+            Counted.looked += 1
+            return super().__getitem__(key)
+
+    codec = Codec(read_ranks(queries.byte_bpe()))
+    draw = random.Random(3)
+    pieces = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzäßéж", k=14)).encode() for _ in range(300)]
+    first = [codec.encode_piece(p) for p in pieces]
+    codec.shorter = Counted(codec.shorter)
+    assert [codec.encode_piece(p) for p in pieces] == first
+    assert all(codec.decode(ids) == p for ids, p in zip(first, pieces))
+    assert Counted.looked <= 450  # once for a token that is given up; trying one by one takes 681
+
+
+def test_ascii_texts_are_split_alike():
+    one, other = splitter(public_tokenizers.PATTERN), ascii_splitter(public_tokenizers.PATTERN)
+    draw = random.Random(4)
+    for _ in range(3000):
+        kinds = draw.choice([[chr(i) for i in range(128)], list(" \t\n\r\x0b\x1c\x1f'sltredvm0a_.")])
+        text = "".join(draw.choices(kinds, k=draw.randrange(60)))
+        assert other.findall(text) == one.findall(text)
+    assert ascii_splitter(r"[^\S]+") is None and ascii_splitter(r"\p{Lu}+") is None and ascii_splitter(r"\w") is None
+
+
+def test_cache_holds_ids_only():
+    """A cached piece is its ids; texts are decoded from them, so the cache is no larger than it has to be."""
+    encoder = Encoder(Codec(read_ranks(queries.byte_bpe())), public_tokenizers.PATTERN)
+    text = "some words, some more words and ünïcode 123"
+    ids, decoded = encoder(text)
+    assert decoded == text.encode() and encoder(text) == (ids, decoded)
+    assert all(isinstance(made, bytes) and len(made) % 4 == 0 for made in encoder.young.values())
