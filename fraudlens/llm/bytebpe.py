@@ -19,6 +19,7 @@ from fraudlens.llm.common import in_chunks, ship
 CHUNK = 1 << 20  # characters of text that a task holds at once
 CACHED = 200_000  # pieces in each of the two generations of a worker's cache
 CACHED_LENGTH = 48
+FITS = 1 << 18  # borders between tokens that a codec remembers
 LONG = 1 << 20  # beyond so many characters a text is split lazily
 
 
@@ -96,7 +97,7 @@ class Codec:
             if self._border_stays(left, found):
                 break
             found = self.shorter[found]
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > FITS:
             self.fits.clear()
         self.fits.update(dict.fromkeys(tried, found))
         return found
@@ -243,7 +244,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(locate(), pattern)
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            rows = ((i.as_py(), t.as_py()) for i, t in zip(batch.column(0), batch.column(1)))  # not all of a batch at once
             for part in in_chunks(rows, lambda r: len(r[1] or ""), CHUNK):
                 made = [encoder(text or "") for _, text in part]
                 ends = np.cumsum([0, *(len(m[0]) // 4 for m in made)], dtype=np.int32)

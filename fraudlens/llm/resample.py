@@ -65,7 +65,7 @@ def bucketed(texts: DataFrame, longest: int, buckets: int, id_col: str, text_col
         split = WordSplit()
         for batch in batches:
             at = 0
-            for part in in_chunks(iter(pieces(batch.column(1))), lambda t: len(t or b""), CHUNK):
+            for part in in_chunks(pieces(batch.column(1)), lambda t: len(t or b""), CHUNK):
                 words = (split((t or b"").decode("utf-8", "replace")) for t in part)
                 made = [(len(w), feature_spans(w, longest, buckets)[1].astype(kind).tobytes()) for w in words]
                 columns = [pa.array([n for n, _ in made], pa.int64()), pa.array([f for _, f in made], pa.binary())]

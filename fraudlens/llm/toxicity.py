@@ -297,18 +297,21 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", keep:
     ship(spark)
     shared = spark.sparkContext.broadcast(model.pack())
     names = [c for c in (docs.columns if keep is None else keep) if c != "score"]
-    rows, kinds, place = carried(docs, [*names, text_col])
-    rows = rows.withColumn(f"c{len(names)}", F.col(f"c{len(names)}").cast("string"))
-    place |= {c: f"c{i}" for i, c in enumerate(names)}  # the text comes twice if it is kept
-    kinds = kinds.rpartition(", ")[0]
+    once = text_col in names and docs.schema[text_col].dataType.simpleString() == "string"  # a kept text is not sent twice
+    rows, kinds, place = carried(docs, names if once else [*names, text_col])
+    at = names.index(text_col) if once else len(names)
+    if not once:
+        rows = rows.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
+        place |= {c: f"c{i}" for i, c in enumerate(names)}
+        kinds = kinds.rpartition(", ")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(Model.unpack(shared.value))
         for batch in batches:
-            texts = (t.as_py() or "" for t in batch.column(len(names)))  # not all of a batch at once
+            texts = (t.as_py() or "" for t in batch.column(at))  # not all of a batch at once
             found = [score(part) for part in in_chunks(texts, len, CHUNK)]
             values = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], values], [*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], values], [*batch.schema.names[:len(names)], "score"])
 
     scored = rows.mapInArrow(run, f"{kinds}, score double" if names else "score double")
     return scored.select(*(F.col(place[c]).alias(c) for c in names), "score")

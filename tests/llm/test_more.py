@@ -5,15 +5,18 @@ import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
-from fraudlens.llm import queries
-from fraudlens.llm.bytebpe import Codec, Encoder, ascii_splitter, read_ranks, splitter
+from fraudlens.llm import bytebpe, queries
+from fraudlens.llm.bytebpe import Codec, Encoder, ascii_splitter, encode_documents, read_ranks, splitter
+from fraudlens.llm.common import pieces
 from fraudlens.llm.licence_texts import TEXTS
 from fraudlens.llm.licences import licence_scan, window_matches
-from fraudlens.llm.toxicity import train
+from fraudlens.llm.lines import line_dedup
+from fraudlens.llm.toxicity import score_toxicity, train
 from fraudlens.llm.vectors import vector_groups
 
 
@@ -176,3 +179,87 @@ def test_cache_holds_ids_only():
     ids, decoded = encoder(text)
     assert decoded == text.encode() and encoder(text) == (ids, decoded)
     assert all(isinstance(made, bytes) and len(made) % 4 == 0 for made in encoder.young.values())
+
+
+def _step(monkeypatch, docs, call):
+    """The function that ``call`` gave the last mapInArrow, and the columns that are sent to it."""
+    held, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, *a, **k: held.append((run, self.columns)) or real(self, run, *a, **k))
+    call(docs)
+    monkeypatch.undo()
+    return held[-1]
+
+
+def _most_held(run, batch):
+    """Rows that a step gives for a batch, and the most bytes that Python held meanwhile, beside the batch."""
+    list(run(iter([batch.slice(0, 1)])))  # what a worker loads once
+    tracemalloc.start()
+    try:
+        return sum(b.num_rows for b in run(iter([batch]))), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_encoding_holds_part_of_a_batch(spark, monkeypatch):
+    """pipeline, op8_byte_bpe: of a batch of 16 MB, not all texts are Python's at once."""
+    docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
+    run, _ = _step(monkeypatch, docs, lambda d: encode_documents(d, queries.byte_bpe, public_tokenizers.PATTERN))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(160)), pa.array([f"some plain words {i} " * 5000 for i in range(160)])], ["id", "text"])
+    rows, held = _most_held(run, batch)
+    assert rows == 160 and held < 10 << 20  # 1 MB of texts with their pieces and ids
+
+
+def test_line_removal_holds_part_of_a_batch(spark, monkeypatch):
+    """pipeline, op9_line_dedup: the last step gives a batch of 16 MB back in parts; rows and columns stay together."""
+    docs = spark.createDataFrame([(1, "a line\nb", "x"), (2, "a line\nc", "y"), (3, None, "z")], "doc_id long, text string, source string")
+    run, _ = _step(monkeypatch, docs, line_dedup)
+    texts = ["\n".join([f"line {i} " * 6000, "gone", "stays"]) if i % 9 else None for i in range(320)]
+    lines = [[1] if i % 2 and i % 9 else None for i in range(320)]
+    columns = [pa.array(range(320)), pa.array([str(i) for i in range(320)]), pa.array(texts), pa.array(lines, pa.list_(pa.int32()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["c0", "c2", "kept", "lines"])
+    rows, held = _most_held(run, batch)
+    assert rows == 320 and held < 12 << 20
+    out = pa.Table.from_batches(list(run(iter([batch])))).to_pylist()
+    for i, row in enumerate(out):
+        want = texts[i].replace("gone\n", "") if lines[i] else texts[i]
+        assert row == {"c0": i, "c2": str(i), "kept": want, "lines": 3 if texts[i] else 0, "removed": len(lines[i] or ())}
+
+
+def test_a_kept_text_is_sent_once(spark, monkeypatch):
+    """pipeline: scoring all columns sends each of them once; a text that is no string is sent as one beside it."""
+    model = train(["good day", "bad day"], np.array([0, 1]))
+    docs = spark.createDataFrame([(1, "bad day", "x"), (2, None, "y"), (3, "good", None)], "doc_id long, text string, source string")
+    _, sent = _step(monkeypatch, docs, lambda d: score_toxicity(d, model))
+    assert len(sent) == 3
+    other = docs.withColumn("text", F.col("text").cast("binary"))
+    _, sent = _step(monkeypatch, other, lambda d: score_toxicity(d, model))
+    assert len(sent) == 4
+    one, two, three = (score_toxicity(d, model, keep=k).orderBy("doc_id").collect() for d, k in ((docs, None), (other, None), (docs, ["doc_id"])))
+    assert [r["score"] for r in one] == [r["score"] for r in two] == [r["score"] for r in three]
+    assert [(r["doc_id"], r["text"], r["source"]) for r in one] == [(1, "bad day", "x"), (2, None, "y"), (3, "good", None)]
+    assert [r["text"] for r in two] == [bytearray(b"bad day"), None, bytearray(b"good")] and three[0].asDict().keys() == {"doc_id", "score"}
+
+
+def test_texts_of_a_column_are_made_one_by_one():
+    """pipeline, op9_line_dedup, op10, op11, op13: bytes of the texts of a batch are not all held."""
+    column = pa.array(["x" * 100_000] * 100 + [None])
+    tracemalloc.start()
+    try:
+        sizes = [len(t or b"") for t in pieces(column)]
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sizes == [100_000] * 100 + [0] and held < 1 << 20
+
+
+def test_remembered_borders_are_bounded(monkeypatch):
+    """A worker that sees ever more texts remembers no more borders; forgetting some changes no ids."""
+    ranks, draw = read_ranks(queries.byte_bpe()), random.Random(5)
+    words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzäßéж", k=14)).encode() for _ in range(300)]
+    want = list(map(Codec(ranks).encode_piece, words))
+    monkeypatch.setattr(bytebpe, "FITS", 100)
+    codec, most = Codec(ranks), 0
+    for word, ids in zip(words, want):
+        assert codec.encode_piece(word) == ids
+        most = max(most, len(codec.fits))
+    assert most < 200
