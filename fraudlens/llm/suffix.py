@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fraudlens.llm.common import grouped, mix64, run_starts, ship
 from fraudlens.llm.packed import JUDGED, PACKED, Texts, chunked, judged, pack, returned, split_note, with_note
+from fraudlens.session import settle
 
 LENGTH = 50
 GRAM = 24  # bytes of an anchor
@@ -17,7 +18,9 @@ PERIOD, COVER = 13, (0, 1, 3, 9)  # a perfect difference cover: every difference
 STRIDE = 80  # bytes of a row in a bucket's text
 HOT = 1_000  # occurrences from which the windows of an anchor are dealt one by one
 SCAN = 1 << 18  # bytes that are scanned at once, so that they stay in the processor's cache
-BLOCK = 4 << 20  # suffixes that are sorted at once
+BLOCK = 1 << 18  # suffixes that are sorted at once
+CHUNK = 4 << 20  # bytes of text in a chunk, whose runs of windows one task holds; a bucket gets about as many
+ROWS = 1 << 14  # rows of a bucket that are cut out of the texts at once
 _PLACE = np.uint64((1 << 31) - 1)
 
 
@@ -133,7 +136,7 @@ def sorted_blocks(data: np.ndarray, suffixes: np.ndarray, depth: int, most: int
     near = np.zeros(len(data), bool)
     for shift in range(PERIOD):
         near[suffixes + shift] = True
-    samples = np.flatnonzero(near & _COVERED[np.arange(len(data)) % PERIOD])
+    samples = np.flatnonzero(near & np.resize(_COVERED, len(data)))
     samples = samples[samples + depth + 8 <= len(data)]
     rank = np.zeros(len(data), np.int32)
     rank[samples] = cover_ranks(data, samples, depth)
@@ -235,8 +238,10 @@ class Snippets:
         self.least = texts.doc[self.doc[order]]
         text = np.zeros((len(order), 2 * length - GRAM + 1), np.uint8)
         text[:, 0] = self.count[order] + length - 1
-        reach = np.minimum(self.first[order, None] + np.arange(text.shape[1] - 1), len(texts.bytes) - 1)
-        text[:, 1:] = np.where(np.arange(text.shape[1] - 1) < text[:, :1], texts.bytes[reach], 0)
+        for lo in range(0, len(order), ROWS):
+            part = text[lo:lo + ROWS]
+            reach = np.minimum(self.first[order[lo:lo + ROWS], None] + np.arange(text.shape[1] - 1), len(texts.bytes) - 1)
+            part[:, 1:] = np.where(np.arange(text.shape[1] - 1) < part[:, :1], texts.bytes[reach], 0)
         self.rows = text
         tail = lanes(np.ascontiguousarray(text[:, 1:]).ravel(), "<") if len(text) else np.zeros(0, np.uint64)
         own = np.zeros(len(text), np.uint64)
@@ -270,11 +275,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     ``spans`` are the maximal removed runs as ``(start, end)``, ``kept`` the other bytes. Null and empty
     texts have none. A null id comes before all ids; rows with the same id are one document, which takes
     nothing from itself. Other columns are not looked at. No rows: no rows. 32 <= length <= 51.
+
+    ``docs`` is read anew by each of three passes, of which the first two leave bits only, so that the anchors'
+    exchange is gone before the windows' is made: its rows must be the same each time.
     """
     if not 32 <= length <= 51:
         raise ValueError("length must be 32 to 51")
     ship(docs.sparkSession)
-    dealt, n = chunked(docs, id_col, text_col)
+    dealt, n = chunked(docs, id_col, text_col, CHUNK)
     windows = length - GRAM + 1
     width = 2 * length - GRAM + 1
 
@@ -335,9 +343,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         return judged(rows, judge_anchors, 9, 2)
 
     anchors = dealt.groupBy("chunk").applyInArrow(send_anchors, PACKED)
-    shared = anchors.groupBy("bucket").applyInArrow(judge_grams, JUDGED)
+    shared = settle(anchors.groupBy("bucket").applyInArrow(judge_grams, JUDGED), "anchors")
     snippets = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(send_snippets, PACKED)
-    late = snippets.groupBy("bucket").applyInArrow(judge_snippets, JUDGED)
+    late = settle(snippets.groupBy("bucket").applyInArrow(judge_snippets, JUDGED), "windows")
     done = dealt.groupBy("chunk").cogroup(late.groupBy("chunk")).applyInArrow(
         finish, "doc long, n_bytes long, spans array<struct<start long, end long>>, kept binary"
     )

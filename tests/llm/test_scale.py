@@ -3,12 +3,15 @@
 import glob
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fraudlens.llm import lines as line_module
+import brute
+from fraudlens.llm import lines as line_module, suffix
+from fraudlens.llm.packed import Texts
 from fraudlens.session import FILE_CLEANUP, settle
 
 
@@ -71,3 +74,44 @@ def test_settled_tables_leave_no_shuffle_files(spark):
         time.sleep(0.2)
     assert not files() - seen and rows.count() == 7
     assert spark.conf.get(FILE_CLEANUP, None) == before
+
+
+def test_chunks_of_suffix_removal_follow_the_text(spark, monkeypatch):
+    """More text makes more chunks and buckets, not larger ones; what is removed stays the same."""
+    rng = random.Random(9)
+    passages = [sentence(rng, 20) for _ in range(6)]
+    texts = {i: " ".join((sentence(rng, 30), rng.choice(passages), sentence(rng, 10))) for i in range(120)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    made, write = {}, suffix.settle
+
+    def kept(df, label):
+        made[label] = write(df, label)
+        return made[label]
+
+    monkeypatch.setattr(suffix, "settle", kept)
+    monkeypatch.setattr(suffix, "CHUNK", 1000)
+    found = {r["doc_id"]: (r["n_bytes"], [tuple(s) for s in r["spans"]], bytes(r["kept"])) for r in suffix.suffix_dedup(docs).collect()}
+    assert found == brute.byte_strings(texts.items(), 50)
+    most = made["anchors"].groupBy().agg(F.count_distinct("chunk"), F.max("bucket")).first()
+    assert most[0] > 40 and most[1] > 40
+
+
+def test_memory_of_a_bucket():
+    """Rows of a bucket are cut out and judged in a few times their own size."""
+    rng = np.random.default_rng(5)
+    words = [bytes(rng.integers(97, 117, 8, dtype=np.uint8)) for _ in range(5000)]
+    text = [b" ".join(words[i] for i in rng.integers(0, 5000, 200)) for _ in range(1000)]
+    texts = Texts(pa.table({"doc": pa.array(range(len(text)), pa.int64()), "text": pa.array(text, pa.binary())}))
+    anchors = suffix.Anchors(texts, suffix.LENGTH)
+
+    def peak(make):
+        tracemalloc.start()
+        made = make()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most, made
+
+    most, sent = peak(lambda: suffix.Snippets(texts, anchors, lambda gram: np.tile([True, False], (len(gram), 1)), suffix.LENGTH, 4))
+    assert len(sent.rows) > 100_000 and most < 900 * len(sent.rows)
+    most, late = peak(lambda: suffix.late_windows(sent.rows, sent.least, suffix.LENGTH))
+    assert late.shape == (len(sent.rows), suffix.LENGTH - suffix.GRAM + 1) and most < 2000 * len(sent.rows)
