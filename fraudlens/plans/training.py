@@ -88,7 +88,7 @@ def hybrid_features(
     if not own_label:
         stats = {n: s.withColumns({c: F.lit(0.0) for c in RISK if c in s.columns}) for n, s in stats.items()}
     nodes = node_features(train, vocabs, stats, keys, dim=max(dim, 17)).drop("ntype")
-    edges = settle(build_edges_hetero(train, vocabs, keys), "edges")
+    edges = settle(build_edges_hetero(train, vocabs, keys).select("src", "dst"), "edges")
     wide = propagate_k(nodes, edges, max(dim, 17), hops)
     size = max(dim, 17) * (hops + 1)
     start = node_offsets(vocab_sizes(vocabs))
@@ -100,14 +100,17 @@ def hybrid_features(
         )
         for n in ("card", "device")
     }
+    if not own_label:  # before the vectors come, which are a hundred times as wide
+        named = settle(_entity_risk(named, keys, label), "risks")
     out = txn_features(named, emb["card"], emb["device"], keys["card"], keys["device"], size)
     if not own_label:
-        out = _entity_risk(settle(out, "vectors"), keys, label)
+        risks = [f"_risk_{n}" for n in keys]
+        out = out.withColumn("features", F.concat("features", F.array(*risks))).drop(*risks)
     return out.withColumn("features", array_to_vector("features"))
 
 
 def _entity_risk(rows: DataFrame, keys: dict[str, list[str]], label: str) -> DataFrame:
-    """``features`` with each entity's fraud rate among training rows behind them; a training row leaves itself out."""
+    """Each entity's fraud rate among training rows beside the rows, as ``_risk_`` and its name; a training row leaves itself out."""
     train = rows.filter("split = 'train'")
     for n, cols in keys.items():
         name = f"_risk_{n}"
@@ -116,5 +119,4 @@ def _entity_risk(rows: DataFrame, keys: dict[str, list[str]], label: str) -> Dat
         own = (F.col("split") == "train") & F.col(label).isNotNull()
         s = F.col("_s") - F.when(own, F.col(label).cast("long")).otherwise(0)
         rows = rows.withColumn(name, F.coalesce(F.try_divide(s, F.col("_n") - own.cast("long")), F.lit(0.0))).drop("_s", "_n")
-    risks = [f"_risk_{n}" for n in keys]
-    return rows.withColumn("features", F.concat("features", F.array(*risks))).drop(*risks)
+    return rows
